@@ -73,13 +73,12 @@ def session_openers(events: DataFrame, user: str, ts: str, order_id: str, gap_ho
     slices = session_slices(events, user, ts, gap_hours).where(F.col("events_before") < first)
     in_slice = Window.partitionBy(user, "slice").orderBy(ts, order_id)
     heads = (
-        events.withColumn("slice", slice_start(F.col(ts), gap))
-        .withColumn("rank_in_slice", F.row_number().over(in_slice))
-        .where(F.col("rank_in_slice") <= first)
+        events.select("*", slice_start(F.col(ts), gap).alias("slice"))
+        .select("*", F.row_number().over(in_slice).alias("rank_in_slice"))
+        .where(f"rank_in_slice <= {first}")
     )
     return (
         heads.join(slices, [user, "slice"])
-        .withColumn("pos", F.col("events_before") + F.col("rank_in_slice"))
-        .where(F.col("pos") <= first)
-        .drop("slice", "rank_in_slice", "events_before")
+        .selectExpr(*events.columns, "session_no", "user_first_ts", "events_before + rank_in_slice AS pos")
+        .where(f"pos <= {first}")
     )

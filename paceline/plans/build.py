@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -49,10 +50,19 @@ def build_tables(stg: DataFrame, out: str, spec: FunnelSpec = DEFAULT_FUNNEL) ->
         "fct_user_retention": marts.user_retention(sessions, spec),
         "fct_ab_transitions": marts.ab_transitions(transitions, spec, one_row_per_session=single),
     }
-    return {
-        "stg_events": events, "int_sessions": sessions, "int_step_transition": transitions,
-        **{name: _table(df, out, name) for name, df in made.items()},
-    }
+    # Independent and each small: written side by side so that short stages overlap.
+    with ThreadPoolExecutor(len(made)) as pool:
+        written = pool.map(lambda item: (item[0], _table(item[1], out, item[0])), made.items())
+        return {
+            "stg_events": events, "int_sessions": sessions, "int_step_transition": transitions,
+            **dict(written),
+        }
+
+
+def save_as_tables(tables: Mapping[str, DataFrame], database: str) -> None:
+    """Publish to the catalog, replacing what is there."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:

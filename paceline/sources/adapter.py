@@ -6,7 +6,7 @@ funnel steps, and the arm, device and channel are fixed functions of the user.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from paceline.operators.sessionize import session_openers
 from paceline.spec import DEFAULT_DOMAINS, DEFAULT_FUNNEL, FunnelSpec
@@ -14,8 +14,15 @@ from paceline.spec import DEFAULT_DOMAINS, DEFAULT_FUNNEL, FunnelSpec
 GAP_HOURS = 8
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+# Arm, device and channel as functions of the numeric user id.
+ARM_OF_USER = "(user_id * 7919 + 13) % 97 % 2"
+DEVICE_OF_USER = "(user_id * 104729 + 7) % 101 % 3"
+CHANNEL_OF_USER = "(user_id * 1299709 + 3) % 103 % 4"
+
+
+def _pick(values: tuple[str, ...], index: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), int({index}) + 1)"
 
 
 def clickstream(events: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
@@ -24,17 +31,16 @@ def clickstream(events: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFra
         events.select("event_id", "ts", "user_id"), "user_id", "ts", "event_id",
         GAP_HOURS, len(spec.steps),
     )
-    uid = F.col("user_id")
-    user = F.concat(F.lit("usr_"), uid.cast("string"))
-    return openers.select(
-        F.col("event_id").cast("string").alias(spec.event_id),
-        user.alias(spec.user),
-        F.concat(user, F.lit("_s"), F.col("session_no").cast("string")).alias(spec.session),
-        _pick(tuple(s.event for s in spec.steps), F.col("pos") - 1).alias(spec.event_type),
-        F.col("ts").alias(spec.event_ts),
-        _pick(DEFAULT_DOMAINS.variant, (uid * 7919 + 13) % 97 % 2).alias(spec.variant),
-        _pick(DEFAULT_DOMAINS.acquisition_channel, (uid * 1299709 + 3) % 103 % 4).alias(spec.channel),
-        F.col("user_first_ts").cast("date").alias(spec.signup),
-        _pick(DEFAULT_DOMAINS.device, (uid * 104729 + 7) % 101 % 3).alias(spec.device),
-        F.current_timestamp().cast("timestamp_ntz").alias("ingested_at"),
+    d = DEFAULT_DOMAINS
+    return openers.selectExpr(
+        f"string(event_id) AS {spec.event_id}",
+        f"'usr_' || user_id AS {spec.user}",
+        f"'usr_' || user_id || '_s' || session_no AS {spec.session}",
+        f"{_pick(tuple(s.event for s in spec.steps), 'pos - 1')} AS {spec.event_type}",
+        f"ts AS {spec.event_ts}",
+        f"{_pick(d.variant, ARM_OF_USER)} AS {spec.variant}",
+        f"{_pick(d.acquisition_channel, CHANNEL_OF_USER)} AS {spec.channel}",
+        f"date(user_first_ts) AS {spec.signup}",
+        f"{_pick(d.device, DEVICE_OF_USER)} AS {spec.device}",
+        "localtimestamp() AS ingested_at",
     )
