@@ -32,14 +32,10 @@ def text_files(spark: SparkSession, path: str | Sequence[str], *, multiline: boo
     A record is a line; with ``record_sep`` what lies between separators, so documents
     may span lines and a large file still splits; with ``multiline`` a whole file.
     """
-    reader = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", files)
-        .option("wholetext", str(multiline).lower())
+    records = spark.read.text(
+        path if isinstance(path, str) else list(path), wholetext=multiline, lineSep=record_sep,
+        pathGlobFilter=files, recursiveFileLookup=True,
     )
-    if record_sep:
-        reader = reader.option("lineSep", record_sep)
-    records = reader.text(path if isinstance(path, str) else list(path))
     return (
         records.select("value", F.col("_metadata.file_path").alias("source_file"))
         .where(F.trim("value") != "")

@@ -15,7 +15,7 @@ def stream_files(spark: SparkSession, path: str, *, max_files: int = 1000,
         spark.readStream.format("text")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", JSON_FILES)
-        .option("wholetext", str(multiline).lower())
+        .option("wholetext", multiline)
         .option("maxFilesPerTrigger", max_files)
         .load(path)
     )
