@@ -538,9 +538,14 @@ def oracle() -> dict[str, str]:
         SELECT n_control, n_treatment, round(chi2, 6) AS chi2, round(p, 6) AS p_value, p < 0.01 AS srm_detected
         FROM p"""
     balance = f"""WITH {SESSIONS}, {USERS}, {TABLE},
-        margins AS (SELECT covariate, users, sum(users) OVER (PARTITION BY covariate, variant)
-                    * CAST(sum(users) OVER (PARTITION BY covariate, level) AS DOUBLE)
-                    / sum(users) OVER (PARTITION BY covariate) AS e, variant, level FROM contingency),
+        arms AS (SELECT covariate, variant, sum(users) AS r FROM contingency GROUP BY covariate, variant),
+        levels AS (SELECT covariate, level, sum(users) AS c FROM contingency GROUP BY covariate, level),
+        totals AS (SELECT covariate, sum(users) AS n FROM contingency GROUP BY covariate),
+        margins AS (SELECT a.covariate, a.variant, l.level, CAST(a.r AS DOUBLE) * l.c / t.n AS e,
+                           coalesce(o.users, 0) AS users
+                    FROM arms a JOIN levels l ON a.covariate = l.covariate JOIN totals t ON a.covariate = t.covariate
+                    LEFT JOIN contingency o ON o.covariate = a.covariate AND o.variant = a.variant
+                      AND o.level = l.level),
         x AS (SELECT covariate, sum(pow(users - e, 2) / e) AS chi2,
                      (count(DISTINCT variant) - 1) * (count(DISTINCT level) - 1) AS dof FROM margins GROUP BY covariate),
         p AS (SELECT *, {_chi2_p('chi2', 'dof')} AS p FROM x)
