@@ -571,6 +571,7 @@ def oracle() -> dict[str, str]:
         "stg_events": staged,
         "dedup_landing": staged,
         "stream_ingest": staged,
+        "stream_ndjson": staged,
         "stream_dedup": staged,
         "sessionize_events": f"WITH {EVENTS} SELECT event_id, user_id, session_no FROM numbered",
         "int_sessions": sessions,

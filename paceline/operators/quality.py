@@ -191,8 +191,9 @@ def retention_bounds(retention: DataFrame) -> DataFrame:
     return retention.where(_any([*too_many, *too_high, F.col("d1_retention_rate") < 0.0]))
 
 
-def event_order(stg: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
-    """Sessions in which a later funnel step has an earlier time than a step before it.
+def event_order_flags(stg: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
+    """``(session, events, out_of_order)``: whether a later funnel step has an earlier
+    time than a step before it.
 
     Compares each step's first time with the latest time of all earlier steps, from one
     aggregate per session.
@@ -200,12 +201,17 @@ def event_order(stg: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
     is_step = [F.col(spec.event_type) == s.event for s in spec.steps]
     firsts = [F.min(F.when(c, F.col(spec.event_ts))).alias(f"first_{i}") for i, c in enumerate(is_step)]
     lasts = [F.max(F.when(c, F.col(spec.event_ts))).alias(f"last_{i}") for i, c in enumerate(is_step)]
-    per_session = stg.groupBy(spec.session).agg(*firsts, *lasts)
-    out_of_order = []
+    per_session = stg.groupBy(spec.session).agg(F.count(F.lit(1)).alias("events"), *firsts, *lasts)
+    swapped = []
     for i in range(1, len(spec.steps)):
         latest_before = F.col("last_0") if i == 1 else F.greatest(*[f"last_{j}" for j in range(i)])
-        out_of_order.append(F.coalesce(F.col(f"first_{i}") < latest_before, F.lit(False)))
-    return per_session.where(_any(out_of_order)).select(spec.session)
+        swapped.append(F.coalesce(F.col(f"first_{i}") < latest_before, F.lit(False)))
+    return per_session.select(spec.session, "events", _any(swapped).alias("out_of_order"))
+
+
+def event_order(stg: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
+    """Sessions whose events are out of funnel order."""
+    return event_order_flags(stg, spec).where("out_of_order").select(spec.session)
 
 
 def changing_attributes(stg: DataFrame, attributes: Sequence[str],

@@ -8,9 +8,10 @@ from concurrent.futures import ThreadPoolExecutor
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from paceline.functions.time import elapsed_days
 from paceline.sources.scratch import written
@@ -40,21 +41,23 @@ def user_features(sessions: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL) -> Dat
     )
 
 
-def standardize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def standardize(df: DataFrame, cols: Sequence[str], prefix: str = "") -> DataFrame:
     """z-scores with the population deviation; a constant column becomes zero.
 
-    The means and deviations are one row, read by a scalar subquery.
+    They replace the columns, or stand beside them under ``prefix``. The means and
+    deviations are one row, read by a scalar subquery: ``df`` is computed twice, so pass
+    a written table if that is costly.
     """
     stats = df.select(F.struct(*[f(c).alias(f"{p}_{c}") for c in cols
                                  for p, f in (("mean", F.avg), ("sd", F.stddev_pop))])).scalar()
-    with_stats = df.withColumn("_stats", stats)
 
-    def z(c: str):
+    def z(c: str) -> Column:
         sd = F.col(f"_stats.sd_{c}")
-        return (F.col(c) - F.col(f"_stats.mean_{c}")) / F.when(sd == 0, 1.0).otherwise(sd)
+        scaled = (F.col(c) - F.col(f"_stats.mean_{c}")) / F.when(sd == 0, 1.0).otherwise(sd)
+        return scaled.alias(prefix + c)
 
-    rest = [c for c in df.columns if c not in cols]
-    return with_stats.select(*rest, *[z(c).alias(c) for c in cols])
+    kept = [c for c in df.columns if prefix or c not in cols]
+    return df.withColumn("_stats", stats).select(*kept, *[z(c) for c in cols])
 
 
 def hash_sample(df: DataFrame, id_col: str, n: int) -> DataFrame:
@@ -119,6 +122,15 @@ def silhouette_sampled(df: DataFrame, id_col: str, vector: str, labels: Sequence
                          F.when(F.col("clusters") > 1, F.round("mean", 5)).alias("silhouette"))
 
 
+def silhouette_squared(df: DataFrame, vector: str, label: str) -> float:
+    """Squared-Euclidean silhouette of *all* rows in one linear pass.
+
+    A different number from the Euclidean one above: use it to compare labellings of a
+    population too large to trust a sample, not against published scores.
+    """
+    return ClusteringEvaluator(featuresCol=vector, predictionCol=label).evaluate(df)
+
+
 def _best_fit(vectors: DataFrame, k: int, restarts: int, seed: int, pool: ThreadPoolExecutor):
     def fit(attempt: int) -> tuple[float, int, KMeansModel]:
         model = KMeans(k=k, seed=seed + attempt, featuresCol="features", maxIter=50).fit(vectors)
@@ -137,10 +149,9 @@ def kmeans_sweep(features: DataFrame, id_col: str, cols: Sequence[str] = FEATURE
     of vectors, as each fit alone leaves a cluster idle between iterations.
     """
     spark = features.sparkSession
-    scaled = standardize(features, cols).withColumnsRenamed({c: f"z_{c}" for c in cols})
+    scaled = standardize(written(features, "user_features"), cols, prefix="z_")
     assembled = VectorAssembler(inputCols=[f"z_{c}" for c in cols], outputCol="features")
-    base = written(features.join(scaled, id_col), "user_features")
-    vectors = assembled.transform(base).select(id_col, *cols, "features").persist()
+    vectors = assembled.transform(scaled).select(id_col, *cols, "features").persist()
     best: dict[int, tuple[float, KMeansModel]] = {}
     try:
         with ThreadPoolExecutor(parallelism) as pool:

@@ -14,7 +14,7 @@ from paceline.plans.build import build_tables, table_counts
 from paceline.session import require_utc, size_shuffles
 from paceline.sources import landing as land
 from paceline.sources.adapter import GAP_HOURS, clickstream
-from paceline.sources.scratch import new_dir
+from paceline.sources.scratch import new_dir, written
 from paceline.spec import DEFAULT_EXPERIMENT, DEFAULT_FUNNEL as SPEC, FunnelSpec
 from paceline.streaming import dedup as sdedup, ingest, sessions as ssessions
 
@@ -206,9 +206,8 @@ def dq_suite(spark, sf_dir):
 
 @query
 def event_order_check(spark, sf_dir):
-    stg = events(spark, sf_dir)
-    return quality.event_order(stg).agg(F.count(F.lit(1)).alias("out_of_order_sessions")).withColumn(
-        "events_checked", stg.agg(F.count(F.lit(1))).scalar())
+    return quality.event_order_flags(events(spark, sf_dir)).agg(
+        F.count_if("out_of_order").alias("out_of_order_sessions"), F.sum("events").alias("events_checked"))
 
 
 @query
@@ -310,7 +309,8 @@ def user_features(spark, sf_dir):
 
 @query
 def user_features_scaled(spark, sf_dir):
-    scaled = segments.standardize(_features(spark, sf_dir), segments.FEATURES)
+    features = written(_features(spark, sf_dir), "user_features")  # read twice: statistics, rows
+    scaled = segments.standardize(features, segments.FEATURES)
     return scaled.select(SPEC.user, *[F.round(c, 6).alias(c) for c in segments.FEATURES])
 
 
@@ -385,6 +385,15 @@ def stream_ingest(spark, sf_dir):
     return typed(stg_events(spark.read.parquet(out)))
 
 
+@query
+def stream_ndjson(spark, sf_dir):
+    """Events back out to dated JSON files by a stream, then read in bulk."""
+    out, state = new_dir(spark, "stream-ndjson"), new_dir(spark, "stream-state")
+    rows = stg_events(ingest.stream_landing(ingest.stream_files(spark, landed(spark, sf_dir))))
+    ingest.drain(ingest.append_ndjson(land.payload(rows, EXPERIMENT_ID), out, state, every=None))
+    return typed(stg_events(land.read_landing(spark, out)))
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """A bulk load and an auto-ingest over the same files land every event twice."""

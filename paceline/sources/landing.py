@@ -12,6 +12,7 @@ from paceline.spec import DEFAULT_FUNNEL, FunnelSpec
 JSON_FILES = "*.{json,json.gz}"
 # Between documents that span lines (JSON text sequences).
 RECORD_SEPARATOR = "\u001e"
+DATE_FOLDERS = ("year", "month", "day")
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -92,24 +93,23 @@ def landing_from_events(events: DataFrame, experiment_id: str | None = None,
     )
 
 
+def with_date_folders(body: DataFrame, ts_col: str = "timestamp") -> DataFrame:
+    """Adds zero-padded year, month and day of the *event* time."""
+    ts = F.col(ts_col).cast("timestamp_ntz")
+    return body.select("*", *[
+        F.date_format(ts, pattern).alias(name) for name, pattern in zip(DATE_FOLDERS, ("yyyy", "MM", "dd"))
+    ])
+
+
 def write_ndjson(body: DataFrame, path: str, ts_col: str = "timestamp", *,
                  compression: str = "none", mode: str = "errorifexists") -> None:
-    """One JSON object per line under ``year=/month=/day=`` of the *event* time.
+    """One JSON object per line under ``year=/month=/day=`` of the event time.
 
     The rebalance hint lets adaptive execution gather each date into few files and still
     split a date that holds much of the data, so a hot day is not one writer's job.
     """
-    ts = F.col(ts_col).cast("timestamp_ntz")
-    dated = body.select(
-        "*",
-        F.date_format(ts, "yyyy").alias("year"),
-        F.date_format(ts, "MM").alias("month"),
-        F.date_format(ts, "dd").alias("day"),
-    ).hint("rebalance", "year", "month", "day")
-    (
-        dated.write.mode(mode).partitionBy("year", "month", "day")
-        .option("compression", compression).json(path)
-    )
+    dated = with_date_folders(body, ts_col).hint("rebalance", *DATE_FOLDERS)
+    dated.write.mode(mode).partitionBy(*DATE_FOLDERS).option("compression", compression).json(path)
 
 
 def write_documents(body: DataFrame, path: str) -> None:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from paceline.sources.landing import JSON_FILES, landing_row
+from paceline.sources.landing import DATE_FOLDERS, JSON_FILES, landing_row, with_date_folders
 
 
 def stream_files(spark: SparkSession, path: str, *, max_files: int = 1000,
@@ -33,15 +35,28 @@ def stream_landing(source: DataFrame, *, strict: bool = False) -> DataFrame:
     )
 
 
+def _started(rows: DataFrame, kind: str, out: str, checkpoint: str, every: str | None,
+             folders: Sequence[str] = ()) -> StreamingQuery:
+    writer = rows.writeStream.format(kind).outputMode("append").option("checkpointLocation", checkpoint)
+    if folders:
+        writer = writer.partitionBy(*folders)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start(out)
+
+
 def append_table(rows: DataFrame, out: str, checkpoint: str, *, every: str | None = "5 seconds") -> StreamingQuery:
     """Append to a Parquet table each ``every``; ``None`` drains what is there and stops.
 
     A failed write fails the micro-batch and is retried from the checkpoint: nothing is
     dropped and counted as lost.
     """
-    writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start(out)
+    return _started(rows, "parquet", out, checkpoint, every)
+
+
+def append_ndjson(body: DataFrame, out: str, checkpoint: str, ts_col: str = "timestamp", *,
+                  every: str | None = "5 seconds") -> StreamingQuery:
+    """Flush events each ``every`` as JSON lines under the folder of their event date."""
+    return _started(with_date_folders(body, ts_col), "json", out, checkpoint, every, DATE_FOLDERS)
 
 
 def drain(query: StreamingQuery) -> dict[str, int]:

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from conftest import START, rows
@@ -76,6 +77,17 @@ def test_sweep_labels_every_user_and_finds_planted_groups(spark):
     assert groups.groupBy("g", "cluster").count().count() == 3
 
 
+def test_scores_may_stand_beside_the_columns(spark):
+    df = spark.createDataFrame([(0, 1.0), (1, 3.0)], "id int, a double")
+    assert rows(segments.standardize(df, ["a"], prefix="z_"), "id") == [
+        {"id": 0, "a": 1.0, "z_a": -1.0}, {"id": 1, "a": 3.0, "z_a": 1.0}]
+
+
+def test_squared_silhouette_covers_all_rows(spark):
+    df = spark.createDataFrame([(Vectors.dense(float(x)), int(x > 5)) for x in (0, 1, 10, 11)], ["v", "k"])
+    assert 0.9 < segments.silhouette_squared(df, "v", "k") <= 1
+
+
 def test_profile(spark):
     df = spark.createDataFrame([(0, 1.0), (0, 2.0), (1, 9.0)], "cluster int, a double")
     assert rows(segments.segment_profile(df, "cluster", ["a"]), "cluster") == [

@@ -87,3 +87,13 @@ def test_timed_trigger(spark, tmp_path, made):
         assert query.isActive and spark.read.parquet(str(tmp_path / "out")).count() == 1
     finally:
         query.stop()
+
+
+def test_json_sink_is_dated_by_event_time(spark, tmp_path, made):
+    made.add("s1", "view_homepage", 0).add("s1", "search_product", 86_400).add("s2", "view_homepage", 5)
+    path = landed(spark, tmp_path, made.df(spark))
+    staged = stg_events(ingest.stream_landing(ingest.stream_files(spark, path)))
+    out = str(tmp_path / "out")
+    ran = ingest.drain(ingest.append_ndjson(land.payload(staged), out, str(tmp_path / "state"), every=None))
+    assert ran["rows"] == 3 and (tmp_path / "out" / "year=2024" / "month=05" / "day=02").is_dir()
+    assert same(stg_events(land.read_landing(spark, out)).drop("ingested_at"), made.df(spark).drop("ingested_at"))
