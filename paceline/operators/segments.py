@@ -141,7 +141,7 @@ def _best_fit(vectors: DataFrame, k: int, restarts: int, seed: int, pool: Thread
 
 def kmeans_sweep(features: DataFrame, id_col: str, cols: Sequence[str] = FEATURES,
                  ks: Sequence[int] = (2, 3, 4, 5), restarts: int = 10, seed: int = 42,
-                 sample: int = SILHOUETTE_SAMPLE, parallelism: int = 8) -> tuple[DataFrame, DataFrame]:
+                 sample: int = SILHOUETTE_SAMPLE, parallelism: int = 16) -> tuple[DataFrame, DataFrame]:
     """k-means for each ``k``, best of ``restarts`` by cost; the best k by silhouette.
 
     Returns the scores ``(k, training_cost, silhouette, best)`` and ``features`` with the

@@ -25,7 +25,8 @@ def session_slices(events: DataFrame, user: str, ts: str, gap_hours: int) -> Dat
     """One row per (user, slice): session number, events of the session before the slice,
     and the user's first event time."""
     gap = gap_hours * MICROS_PER_HOUR
-    slices = events.groupBy(user, slice_start(F.col(ts), gap).alias("slice")).agg(
+    placed = events.dropna(subset=[user, ts])
+    slices = placed.groupBy(user, slice_start(F.col(ts), gap).alias("slice")).agg(
         F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.count(F.lit(1)).alias("n"),
     )
     by_user = Window.partitionBy(user).orderBy("slice")
@@ -48,14 +49,15 @@ def session_slices(events: DataFrame, user: str, ts: str, gap_hours: int) -> Dat
 def sessionize(events: DataFrame, user: str, ts: str, gap_hours: int) -> DataFrame:
     """``events`` plus ``session_no``: a new session after more than ``gap_hours`` idle.
 
-    The join is left to adaptive execution: it broadcasts the slices if they turn out
+    Every event is kept; one without a user or a time belongs to no session (NULL). The
+    join is left to adaptive execution: it broadcasts the slices if they turn out
     small and splits a slice that holds much of the data if they do not.
     """
     slices = session_slices(events, user, ts, gap_hours).select(user, "slice", "session_no")
     gap = gap_hours * MICROS_PER_HOUR
     return (
         events.withColumn("slice", slice_start(F.col(ts), gap))
-        .join(slices, [user, "slice"])
+        .join(slices, [user, "slice"], "left")
         .drop("slice")
     )
 
@@ -63,7 +65,7 @@ def sessionize(events: DataFrame, user: str, ts: str, gap_hours: int) -> DataFra
 def session_openers(events: DataFrame, user: str, ts: str, order_id: str, gap_hours: int,
                     first: int) -> DataFrame:
     """The first ``first`` events of every session, with ``session_no``, ``pos`` and
-    ``user_first_ts``.
+    ``user_first_ts``. Events without a user or a time open no session.
 
     A session's opening events are among the opening events of its slices, so each slice
     is cut to ``first`` rows before the shuffle (a row_number limit runs map-side) and

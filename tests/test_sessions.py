@@ -64,6 +64,14 @@ def test_equal_times_are_ordered_by_event_id(spark):
     assert [(r["event_id"], r["pos"]) for r in got.orderBy("pos").collect()] == [(3, 1), (4, 2), (5, 3)]
 
 
+def test_events_without_user_or_time_are_kept_outside_sessions(spark):
+    at = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, at, 1), (2, at, None), (3, None, 1), (4, at + timedelta(hours=9), 1)], RAW)
+    got = {r["event_id"]: r["session_no"] for r in sessionize(df, "user_id", "ts", 8).collect()}
+    assert got == {1: 1, 2: None, 3: None, 4: 2}
+    assert session_openers(df, "user_id", "ts", "event_id", 8, 6).count() == 2
+
+
 def test_times_before_1970(spark):
     first = datetime(1969, 12, 31, 20)
     data = [(i, first + timedelta(hours=3 * i), 1) for i in range(6)]
@@ -144,3 +152,29 @@ def test_first_session_per_user(spark, made):
     made.add("s0", "view_homepage", 99, device="desktop")
     got = rows(ses.first_session_per_user(ses.int_sessions(made.df(spark)), ["device"]))
     assert got == [{"user_id": "u1", "device": "mobile"}]
+
+
+def test_a_hot_slice_is_split_across_tasks(spark):
+    """A third of all events in one user's one slice: the join splits that partition."""
+    base = datetime(2024, 1, 1)
+    data = [(i, base + timedelta(seconds=i % 20_000), 0) for i in range(20_000)]
+    data += [(20_000 + i, base + timedelta(hours=i % 700), 1 + i % 997) for i in range(40_000)]
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "30k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = sessionize(spark.createDataFrame(data, RAW).repartition(12), "user_id", "ts", 8)
+        assert len(got.collect()) == len(data)
+        assert "skew=true" in plan(got)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
