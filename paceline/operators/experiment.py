@@ -222,8 +222,8 @@ def fit_grouped_logit(x: np.ndarray, n: np.ndarray, y: np.ndarray,
 
 
 def _score_outer(user_cells: DataFrame, cells: list[dict], design: Design, p: np.ndarray,
-                 spec: FunnelSpec) -> np.ndarray:
-    """Sum over users of score times its transpose, as two aggregates."""
+                 spec: FunnelSpec) -> tuple[np.ndarray, int]:
+    """Sum over users of score times its transpose, as two aggregates; and the users."""
     keys = [design.variant, *[c for c, _ in design.covariates]]
     k = len(design.terms)
     spark = user_cells.sparkSession
@@ -244,11 +244,11 @@ def _score_outer(user_cells: DataFrame, cells: list[dict], design: Design, p: np
                for i, t in enumerate(design.terms)])
     )
     upper = [(i, j) for i in range(k) for j in range(i, k)]
-    row = scores.agg(*[F.sum(F.col(f"s{i}") * F.col(f"s{j}")).alias(f"b{i}_{j}") for i, j in upper]).first()
+    row = scores.agg(F.count(F.lit(1)).alias("users"), *[F.sum(F.col(f"s{i}") * F.col(f"s{j}")).alias(f"b{i}_{j}") for i, j in upper]).first()
     outer = np.zeros((k, k))
     for i, j in upper:
         outer[i, j] = outer[j, i] = row[f"b{i}_{j}"] or 0.0
-    return outer
+    return outer, row["users"]
 
 
 def hte_logit(sessions: DataFrame, exp: ExperimentSpec = DEFAULT_EXPERIMENT,
@@ -284,8 +284,7 @@ def hte_logit(sessions: DataFrame, exp: ExperimentSpec = DEFAULT_EXPERIMENT,
     if not converged:
         return spark.createDataFrame([(t, *[None] * 6, False) for t in names], schema)
     p = 1.0 / (1.0 + np.exp(-(x @ beta)))
-    outer = _score_outer(user_cells, cells, design, p, spec)
-    groups = user_cells.agg(F.count_distinct(spec.user)).first()[0]
+    outer, groups = _score_outer(user_cells, cells, design, p, spec)
     bread = np.linalg.inv(info)
     total, k = n.sum(), len(names)
     factor = groups / (groups - 1) * (total - 1) / (total - k)

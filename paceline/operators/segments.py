@@ -60,9 +60,33 @@ def standardize(df: DataFrame, cols: Sequence[str], prefix: str = "") -> DataFra
     return df.withColumn("_stats", stats).select(*kept, *[z(c) for c in cols])
 
 
-def hash_sample(df: DataFrame, id_col: str, n: int) -> DataFrame:
-    """A repeatable random sample of ``n`` rows: the smallest hashes of the id."""
-    return df.orderBy(F.md5(F.col(id_col).cast("string")), id_col).limit(n)
+def hash_sample(df: DataFrame, id_col: str, n: int, share: float = 1.0) -> DataFrame:
+    """A repeatable random sample of ``n`` rows: the smallest hashes of the id.
+
+    ``share`` keeps only hashes in that lowest share of their range before the ordering;
+    the result is the same as long as ``n`` rows remain.
+    """
+    digest = F.md5(F.col(id_col).cast("string"))
+    if share < 1.0:
+        # The leading 48 bits order like the digest itself and fit a DOUBLE exactly.
+        lead = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double")
+        df = df.where(lead < share * 16.0 ** 12)
+    return df.orderBy(digest, id_col).limit(n)
+
+
+def _sample_rows(df: DataFrame, id_col: str, n: int, total: int) -> pd.DataFrame:
+    """The hash sample on the driver, at most ``n`` of about ``total`` rows.
+
+    A top-n hands n rows per partition to one task. Knowing the row count, nearly all
+    rows can be cut by their hash first; if too few remain (rows without a vector, or bad
+    luck) the plain sample is taken instead.
+    """
+    share = (n + 8 * n ** 0.5 + 64) / max(total, 1)
+    if share < 0.5:
+        sample = hash_sample(df, id_col, n, share).toPandas()
+        if len(sample) == n:
+            return sample
+    return hash_sample(df, id_col, n).toPandas()
 
 
 def silhouette_points(df: DataFrame, id_col: str, vector: str, labels: Sequence[str],
@@ -75,7 +99,7 @@ def silhouette_points(df: DataFrame, id_col: str, vector: str, labels: Sequence[
     spark = df.sparkSession
     whole = df.dropna(subset=[vector, *labels]).select(
         F.col(id_col), F.col(vector).cast("array<double>").alias("v"), *labels)
-    sample = hash_sample(whole, id_col, n).toPandas()
+    sample = _sample_rows(whole, id_col, n, df.count())  # the count reads no vectors
     points = np.array(sample["v"].tolist(), dtype=np.float64).reshape(len(sample), -1)
     codes = {c: np.unique(sample[c].to_numpy(), return_inverse=True)[1] for c in labels}
     shared = spark.sparkContext.broadcast((points, codes))

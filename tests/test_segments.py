@@ -62,6 +62,16 @@ def test_sample_is_repeatable_and_bounded(spark):
     assert a == b and len(set(a)) == 50
 
 
+def test_cutting_by_hash_first_gives_the_same_sample(spark):
+    df = spark.range(20_000)
+    plain = [r["id"] for r in segments.hash_sample(df, "id", 500).collect()]
+    assert segments._sample_rows(df, "id", 500, 20_000)["id"].tolist() == plain
+    assert df.count() > segments.hash_sample(df, "id", 20_000, 0.05).count() > 500
+    # Too few rows left by the cut: the plain sample is used.
+    sparse = df.where("id % 400 = 0")
+    assert len(segments._sample_rows(sparse, "id", 500, 20_000)) == 50
+
+
 def test_sweep_labels_every_user_and_finds_planted_groups(spark):
     rng = np.random.default_rng(1)
     centers = [(0, 0), (12, 0), (0, 12)]
