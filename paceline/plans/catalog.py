@@ -13,7 +13,7 @@ from paceline.operators.staging import dedup_events, stg_events
 from paceline.plans.build import build_tables, table_counts
 from paceline.session import require_utc, size_shuffles
 from paceline.sources import landing as land
-from paceline.sources.adapter import GAP_HOURS, clickstream
+from paceline.sources.adapter import GAP_HOURS, funnel_events
 from paceline.sources.scratch import new_dir, written
 from paceline.spec import DEFAULT_EXPERIMENT, DEFAULT_FUNNEL as SPEC, FunnelSpec
 from paceline.streaming import dedup as sdedup, ingest, sessions as ssessions
@@ -44,7 +44,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clickstream(read(spark, sf_dir, "events"))
+    return funnel_events(read(spark, sf_dir, "events"))
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ def _pick(values: tuple[str, ...], index: str) -> str:
     return f"element_at(array({listed}), int({index}) + 1)"
 
 
-def clickstream(events: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
+def funnel_events(events: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
     """Staged-event layout over ``events(event_id, ts, user_id)``."""
     openers = session_openers(
         events.select("event_id", "ts", "user_id"), "user_id", "ts", "event_id",

@@ -120,7 +120,7 @@ class ExperimentSpec:
 
 @dataclass(frozen=True)
 class Domains:
-    """Accepted values per column, used by the data tests."""
+    """Accepted values per column (fixed values), used by the data tests."""
 
     variant: tuple[str, ...] = ("control", "new_checkout_ui")
     device: tuple[str, ...] = ("desktop", "mobile", "tablet")

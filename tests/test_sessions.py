@@ -6,7 +6,7 @@ import pytest
 from conftest import START, plan, rows
 from paceline.operators import sessions as ses
 from paceline.operators.sessionize import session_openers, sessionize
-from paceline.sources.adapter import clickstream
+from paceline.sources.adapter import funnel_events
 
 RAW = "event_id long, ts timestamp_ntz, user_id long"
 
@@ -79,7 +79,7 @@ def test_times_before_1970(spark):
 
 
 def test_no_window_orders_raw_events_per_user(spark):
-    text = plan(clickstream(spark.createDataFrame(HOT, RAW)))
+    text = plan(funnel_events(spark.createDataFrame(HOT, RAW)))
     # The row_number limit runs before the shuffle; the only per-user window is over slices.
     assert text.count("WindowGroupLimit") >= 2
     assert "Partial" in text or "partial" in text
@@ -125,7 +125,7 @@ def test_shared_session_id_fans_out_in_the_general_form(spark, made):
 
 
 def test_one_aggregate_equals_the_join_when_ids_are_unique(spark):
-    stg = clickstream(spark.createDataFrame(HOT, RAW))
+    stg = funnel_events(spark.createDataFrame(HOT, RAW))
     joined = ses.int_step_transition(stg, ses.int_sessions(stg))
     fused = ses.transitions_from_facts(ses.session_facts(stg))
     assert sorted(map(str, joined.collect())) == sorted(map(str, fused.collect()))
@@ -139,7 +139,7 @@ def test_null_session_id_never_joins(spark, made):
 
 
 def test_partials_of_split_sessions_merge_to_the_whole(spark):
-    stg = clickstream(spark.createDataFrame(HOT, RAW))
+    stg = funnel_events(spark.createDataFrame(HOT, RAW))
     whole = ses.session_facts(stg)
     odd, even = stg.where("int(event_id) % 2 = 1"), stg.where("int(event_id) % 2 = 0")
     parts = ses.session_partials(odd, step_times=True).unionByName(ses.session_partials(even, step_times=True))
