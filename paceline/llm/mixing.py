@@ -55,32 +55,36 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST) ->
     return rows.select("source", "source_size", target.alias("target"))
 
 
+OUTPUTS = ("size", "source_size", "target", "taken")
+
+
 def mix(docs: DataFrame, keep: list[str], weights=WEIGHTS, share=SHARE, most=MOST) -> DataFrame:
     """``keep`` columns with ``size``, ``source_size``, ``target`` and ``taken`` words.
 
-    ``keep`` must hold ``doc_id`` and ``source``; give ``text`` as well to get the texts.
+    Kept columns named like one of these four are replaced by it.
     """
-    sized = docs.select(*keep, n_words(F.col("text")).alias("size"), hash_key(F.col("doc_id")).alias("_key"),
-                        F.xxhash64("text").alias("_tie"))
-    sized = written(sized.withColumn("_range", F.substring("_key", 1, RANGE_DIGITS)), "sizes")
-    targets = source_targets(sized, weights, share, most)
-
-    sums = sized.groupBy("source", "_range").agg(F.sum("size").alias("_sum"))
-    up_to = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(F.col("source").alias("_source"), F.col("_range").alias("_of"),
-                          F.coalesce(F.sum("_sum").over(up_to), F.lit(0)).alias("_offset"))
-    offsets = offsets.join(
-        targets.withColumnRenamed("source", "_named"), F.col("_source").eqNullSafe(F.col("_named"))).drop("_named")
-    rows = sized.join(offsets, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_range") == F.col("_of")))
-
-    inside = (Window.partitionBy("source", "_range").orderBy("_key", "size", "_tie")
+    keep = [c for c in keep if c not in OUTPUTS]
+    key = hash_key(F.col("doc_id"))
+    sized = written(docs.select(
+        F.struct(*keep).alias("kept"), "source", n_words(F.col("text")).alias("size"), key.alias("key"),
+        F.substring(key, 1, RANGE_DIGITS).alias("span"), F.xxhash64("text").alias("tie")), "sizes")
+    targets = source_targets(sized, weights, share, most).withColumnRenamed("source", "of_source")
+
+    sums = sized.groupBy("source", "span").agg(F.sum("size").alias("total"))
+    up_to = Window.partitionBy("source").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(F.col("source").alias("in_source"), F.col("span").alias("in_span"),
+                          F.coalesce(F.sum("total").over(up_to), F.lit(0)).alias("offset"))
+    offsets = offsets.join(targets, F.col("in_source").eqNullSafe(F.col("of_source")))
+    rows = sized.join(offsets, F.col("source").eqNullSafe(F.col("in_source")) & (F.col("span") == F.col("in_span")))
+
+    inside = (Window.partitionBy("source", "span").orderBy("key", "size", "tie")
               .rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("_before", F.col("_offset") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    rows = rows.withColumn("before", F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)
     rest = budget - epochs * F.col("source_size")
-    partly = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("_before")))
-    return rows.select(*keep, "size", "source_size", "target",
+    partly = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
+    return rows.select("kept.*", "size", "source_size", "target",
                        (epochs * F.col("size") + partly).cast("long").alias("taken"))
 
 

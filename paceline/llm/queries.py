@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paceline.llm import mixing, simhash, toxicity
+from paceline.llm import decontaminate, mixing, pii, simhash, toxicity
 from paceline.llm.common import held_out, read
 
+#: A demonstration key; a real run passes its own.
+PII_KEY = "corpus-pseudonyms-1"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -18,6 +21,15 @@ def query(fn):
     return fn
 
 
+@query
+def op1_pii(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    hidden = pii.pseudonymise_documents(docs, PII_KEY)
+    counts = {k: F.coalesce(F.col("pii_found")[k], F.lit(0)) for k in pii.KIND_NAMES}
+    return hidden.select("doc_id", sum(counts.values(), F.lit(0)).cast("long").alias("n_found"),
+                         *[n.alias(f"n_{k}") for k, n in counts.items()], "text")
+
+
 @query
 def op2_toxicity(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
@@ -36,6 +48,16 @@ def op5_mixing(spark, sf_dir):
 ORACLE["op5_mixing"] = mixing.mix_sql()
 
 
+@query
+def op6_decontamination(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contaminated(docs, read(spark, sf_dir, "benchmark"))
+    rows = docs.select("doc_id", decontaminate.row_key().alias("row"))
+    return (rows.join(found, F.col("row") == F.col("_row"), "left")
+            .select("doc_id", F.col("_row").isNotNull().alias("contaminated"),
+                    F.coalesce("n_items", F.lit(0)).alias("n_items"), "items", "coverage"))
+
+
 @query
 def op8_simhash(spark, sf_dir):
-    return simhash.simhash_components(read(spark, sf_dir, "documents"), ["doc_id"])
+    return simhash.simhash_components(read(spark, sf_dir, "documents"), ["doc_id"]).drop("component")

@@ -24,7 +24,7 @@ from itertools import combinations, product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from paceline.llm import common
 from paceline.llm.components import connected_components
@@ -54,7 +54,7 @@ def fingerprint(text: bytes, width: int = SHINGLE_WORDS, seed: int = SEED) -> in
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, keep: list[str], width: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
+def fingerprints(docs: DataFrame, keep: list[Column | str], width: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
     """``keep`` columns and the fingerprint as a signed long ``fp``."""
     kept = docs.select(*keep, F.col("text").alias("_text"))
 
@@ -255,14 +255,16 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             .mapInArrow(compare, "u long, v long"))
 
 
-def simhash_components(docs: DataFrame, keep: list[str], width: int = SHINGLE_WORDS,
+def simhash_components(docs: DataFrame, keep: list[Column | str], width: int = SHINGLE_WORDS,
                        max_bits: int = MAX_BITS, seed: int = SEED) -> DataFrame:
-    """``keep`` columns (``doc_id`` among them), ``fingerprint`` (hex) and ``component_id``."""
+    """``keep`` columns (``doc_id`` among them), ``fingerprint`` (hex), ``component_id`` and
+    ``component``, which tells components apart even where ids repeat or are null."""
     rows = written(fingerprints(docs, keep, width, seed), "fingerprints")
+    kept = [c for c in rows.columns if c != "fp"]
     nodes = connected_components(fingerprint_links(rows, max_bits), "u", "v").withColumnRenamed("node", "fp")
     known = (rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
              .join(nodes, "fp", "left").withColumn("component", F.coalesce("component", "fp")))
     least = known.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = known.join(least, "component").select(F.col("fp").alias("known_fp"), "component_id")
+    named = known.join(least, "component").select(F.col("fp").alias("known_fp"), "component_id", "component")
     return (rows.join(named, F.col("fp") == F.col("known_fp"))
-            .select(*keep, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+            .select(*kept, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "component"))
