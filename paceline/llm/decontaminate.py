@@ -50,6 +50,8 @@ class Templates:
 
     def __init__(self, data: np.ndarray, starts: np.ndarray):
         lowered = _WORD[data]
+        latin = np.flatnonzero((data[:-1] == 0xC3) & _is(data[1:], 0x80, 0x9E) & (data[1:] != 0x97)) + 1
+        lowered[latin] += 0x20  # capital letters of Latin-1
         digit = _is(data, 0x30, 0x39)
         point = (data == 0x2E) | (data == 0x2C)
         inner = np.zeros(len(data), dtype=bool)  # 3.5 and 1,000 are one number
