@@ -66,11 +66,13 @@ class Templates:
         ended = np.concatenate([[0], np.cumsum(_ENDS[data])])
         opening = np.ones(n, dtype=bool)  # first word of a sentence
         opening[1:] = ended[b[1:]] > ended[e[:-1]]
-        at_second = np.minimum(b + 1, len(data) - 1)
-        after = np.minimum(b + 2, len(data) - 1)
-        ascii_cap = _is(data[b], 0x41, 0x5A) & ~_is(data[at_second], 0x41, 0x5A)
-        latin_cap = (data[b] == 0xC3) & _is(data[at_second], 0x80, 0x9E) & ~_is(data[after], 0x41, 0x5A)
-        name = (ascii_cap | latin_cap) & ~opening
+        padded = np.concatenate([data, np.zeros(4, dtype=np.uint8)])
+        second = _is(padded[b + 1], 0x80, 0x9E)
+        latin_cap = (data[b] == 0xC3) & second
+        then = b + 1 + latin_cap  # the second letter; a name goes on in lower case
+        small = _is(padded[then], 0x61, 0x7A) | ((padded[then] == 0xC3) & (padded[then + 1] >= 0x9F))
+        ascii_cap = _is(data[b], 0x41, 0x5A)
+        name = (ascii_cap | latin_cap) & small & ~opening
         unit = np.zeros(n, dtype=bool)
         behind = np.flatnonzero(number[:-1]) + 1 if n else np.zeros(0, dtype=int)
         unit[behind] = np.isin(h[behind], _unit_hashes())

@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paceline.llm import decontaminate, mixing, pii, simhash, toxicity
+from paceline.llm import decontaminate, embedding_join, html_text, licenses, mixing, pii, simhash, token_rollup, toxicity
 from paceline.llm.common import held_out, read
+from paceline.sources.scratch import new_dir, written
 
 #: A demonstration key; a real run passes its own.
 PII_KEY = "corpus-pseudonyms-1"
 
+#: Where the public vocabularies lie; only the driver reads them.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -39,6 +43,16 @@ def op2_toxicity(spark, sf_dir):
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op3_licenses(spark, sf_dir):
+    return licenses.scan_documents(read(spark, sf_dir, "documents"), ["doc_id"])
+
+
+@query
+def op4_embeddings(spark, sf_dir):
+    return embedding_join.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_mixing(spark, sf_dir):
     mixed = mixing.mix(read(spark, sf_dir, "documents"), ["doc_id", "source"])
@@ -58,6 +72,33 @@ def op6_decontamination(spark, sf_dir):
                     F.coalesce("n_items", F.lit(0)).alias("n_items"), "items", "coverage"))
 
 
+@query
+def op7_html(spark, sf_dir):
+    return html_text.extract_pages(read(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 @query
 def op8_simhash(spark, sf_dir):
     return simhash.simhash_components(read(spark, sf_dir, "documents"), ["doc_id"]).drop("component")
+
+
+@query
+def op10_token_counts(spark, sf_dir):
+    """All documents under two tokenizers, then copies deleted, then the byte-level counts
+    revised to include an end-of-text token; the first batch is replayed and must not count."""
+    docs = read(spark, sf_dir, "documents")
+    keep = ["doc_id", "source", "lang", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_key")]
+    counts = written(token_rollup.count_tokens(docs, keep, VOCABULARY), "token-counts")
+    copies = written(token_rollup.copies_to_delete(counts), "copies")
+    rollup = token_rollup.TokenRollup(spark, new_dir(spark, "token-rollup"))
+    changes, times = token_rollup.changes, F.col("times")
+    words = changes(counts, "words-1", "words")
+    rollup.apply("load words-1", words)
+    rollup.apply("load byte-bpe-50k", changes(counts, "byte-bpe-50k", "bpe"))
+    rollup.apply("delete copies", changes(copies, "words-1", "words", -times).union(
+        changes(copies, "byte-bpe-50k", "bpe", -times)))
+    left = counts.withColumn("times", F.lit(1).cast("long")).select("source", "lang", "bpe", "times").union(
+        copies.select("source", "lang", "bpe", -times))
+    rollup.apply("revise byte-bpe-50k", token_rollup.revised(left, "byte-bpe-50k", "bpe", F.col("bpe") + 1, times))
+    rollup.apply("load words-1", words)
+    return rollup.totals()
