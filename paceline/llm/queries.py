@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paceline.llm import decontaminate, embedding_join, html_text, licenses, mixing, pii, simhash, token_rollup, toxicity
+from paceline.llm import decontaminate, embedding_join, html_text, licenses, mixing, pii, simhash, substrings, token_rollup, toxicity
 from paceline.llm.common import held_out, read
 from paceline.sources.scratch import new_dir, written
 
@@ -102,3 +102,8 @@ def op10_token_counts(spark, sf_dir):
     rollup.apply("revise byte-bpe-50k", token_rollup.revised(left, "byte-bpe-50k", "bpe", F.col("bpe") + 1, times))
     rollup.apply("load words-1", words)
     return rollup.totals()
+
+
+@query
+def op9_substrings(spark, sf_dir):
+    return substrings.deduplicate(read(spark, sf_dir, "documents")).drop("kept")
