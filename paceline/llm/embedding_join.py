@@ -76,7 +76,7 @@ def principal_axes(vectors: DataFrame, dim: int, leading: int) -> tuple[np.ndarr
     return mean, axes[:, ::-1][:, :leading]
 
 
-def _blocks(vectors: DataFrame, mean: np.ndarray, axes: np.ndarray, epsilon: float) -> DataFrame:
+def _blocks(vectors: DataFrame, mean: np.ndarray, axes: np.ndarray, epsilon: float, block: int) -> DataFrame:
     """The vectors in epsilon grid order, cut into blocks of one label with bounding boxes."""
     lead = axes.shape[1]
     cells = [f"c{k}" for k in range(lead)]
@@ -93,12 +93,12 @@ def _blocks(vectors: DataFrame, mean: np.ndarray, axes: np.ndarray, epsilon: flo
         for batch in batches:
             table = pa.Table.from_batches([batch.select([0, 1, 2, 3])])
             waiting = table if waiting is None else pa.concat_tables([waiting, table])
-            while waiting.num_rows >= 4 * BLOCK:
-                used, rows = _cut_blocks(waiting, part, mean, axes, last=False)
+            while waiting.num_rows >= 4 * block:
+                used, rows = _cut_blocks(waiting, part, mean, axes, block, last=False)
                 yield rows
                 waiting, part = waiting.slice(used), part + rows.num_rows
         if waiting is not None and waiting.num_rows:
-            yield _cut_blocks(waiting, part, mean, axes, last=True)[1]
+            yield _cut_blocks(waiting, part, mean, axes, block, last=True)[1]
 
     grid = vectors.select("node", "label", "n", "embedding").mapInArrow(
         project, "node long, label int, n long, embedding array<float>, " + ", ".join(f"{c} int" for c in cells))
@@ -108,14 +108,14 @@ def _blocks(vectors: DataFrame, mean: np.ndarray, axes: np.ndarray, epsilon: flo
              "low array<double>, high array<double>")
 
 
-def _cut_blocks(table: pa.Table, part: int, mean, axes, last: bool) -> tuple[int, pa.RecordBatch]:
+def _cut_blocks(table: pa.Table, part: int, mean, axes, block: int, last: bool) -> tuple[int, pa.RecordBatch]:
     label = table.column("label").to_numpy()
     ends = np.concatenate([np.flatnonzero(label[1:] != label[:-1]) + 1, [len(label)]])
     rows, at = [], 0
     task = TaskContext.get().partitionId()
     for end in ends:
         while at < end:
-            stop = min(at + BLOCK, end)
+            stop = min(at + block, end)
             if not last and stop == len(label):
                 break
             piece = table.slice(at, stop - at).combine_chunks()
@@ -259,20 +259,23 @@ def _join_blocks(pairs: DataFrame, mean, axes, epsilon: float, cosine: float) ->
     return pairs.mapInArrow(joined, "node long, links long, least long")
 
 
-def near_duplicates(table: DataFrame, cosine: float = COSINE, leading: int = LEADING) -> DataFrame:
+def near_duplicates(table: DataFrame, cosine: float = COSINE, leading: int = LEADING, block: int = BLOCK) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of (vec_id, embedding, label)."""
     epsilon = float(np.sqrt(2 - 2 * cosine))
     rows = table.select("vec_id", F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<float>").alias("embedding"))
     ok = usable("embedding") & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     sizes = rows.where(ok).groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    dim = sizes[0]["dim"] if sizes else 0
+    if not sizes:
+        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
+                           F.lit(True).alias("kept"))
+    dim = sizes[0]["dim"]
     ok = ok & (F.size("embedding") == dim)
     rows = rows.withColumn("key", F.when(ok, F.xxhash64("label", "embedding"))).withColumn("check", F.when(ok, F.hash("embedding", "label")))
 
     distinct = written(rows.where("key IS NOT NULL").groupBy("key", "check", "label", "embedding")
                        .agg(F.min("vec_id").alias("node"), F.count("*").alias("n")), "vectors")
-    mean, axes = principal_axes(distinct, dim, min(leading, dim)) if dim else (np.zeros(0), np.zeros((0, 0)))
-    blocks = written(_blocks(distinct, mean, axes, epsilon), "blocks")
+    mean, axes = principal_axes(distinct, dim, min(leading, dim))
+    blocks = written(_blocks(distinct, mean, axes, epsilon, block), "blocks")
     lead = axes.shape[1]
     numbered = blocks.select("part", "label", "low", "high", (F.row_number().over(Window.partitionBy("label").orderBy("part")) - 1).alias("at"))
     boxes = written(numbered, "boxes")
