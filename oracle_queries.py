@@ -14,32 +14,31 @@ STEPS = ["view_homepage", "search_product", "view_product_details", "add_to_cart
 
 EVENTS = """
 ordered AS (
-  SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_ts
+  SELECT event_id, user_id, ts, event_type, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_ts
   FROM events
 ),
 numbered AS (
-  SELECT event_id, user_id, ts,
+  SELECT event_id, user_id, ts, event_type AS kind,
          CAST(sum(CASE WHEN prev_ts IS NULL OR ts - prev_ts > INTERVAL 8 HOUR THEN 1 ELSE 0 END)
               OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session_no,
          min(ts) OVER (PARTITION BY user_id) AS first_ts
   FROM ordered
 ),
-placed AS (
-  SELECT *, row_number() OVER (PARTITION BY user_id, session_no ORDER BY ts, event_id) AS pos FROM numbered
-),
 stg AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id,
          'usr_' || user_id AS user_id,
          'usr_' || user_id || '_s' || session_no AS session_id,
-         ['view_homepage', 'search_product', 'view_product_details', 'add_to_cart',
-          'checkout_initiated', 'purchase_completed'][CAST(pos AS INTEGER)] AS event_type,
+         CASE WHEN kind = 'view' AND event_id % 2 = 0 THEN 'view_homepage'
+              WHEN kind = 'view' THEN 'view_product_details'
+              ELSE MAP {'signup': 'search_product', 'click': 'add_to_cart', 'error': 'checkout_initiated',
+                        'purchase': 'purchase_completed'}[kind] END AS event_type,
          ts AS event_timestamp,
          ['control', 'new_checkout_ui'][CAST((user_id * 7919 + 13) % 97 % 2 + 1 AS INTEGER)] AS variant,
          ['Organic', 'Google_Ads', 'Email', 'Direct'][CAST((user_id * 1299709 + 3) % 103 % 4 + 1 AS INTEGER)]
            AS acquisition_channel,
          CAST(first_ts AS DATE) AS signup_date,
          ['desktop', 'mobile', 'tablet'][CAST((user_id * 104729 + 7) % 101 % 3 + 1 AS INTEGER)] AS device
-  FROM placed WHERE pos <= 6
+  FROM numbered
 )"""
 
 SESSIONS = EVENTS + """,
@@ -522,10 +521,10 @@ def oracle() -> dict[str, str]:
     dim_counts = " UNION ALL ".join(
         f"SELECT '{m}' AS table_name, count(*) AS row_count FROM {cte}" for m, cte in MODELS.items())
     order_check = f"""WITH {EVENTS},
-        walk AS (SELECT session_id, event_timestamp AS t, lag(event_timestamp) OVER (PARTITION BY session_id
-                 ORDER BY list_position({STEPS}, event_type)) AS t_before FROM stg)
-        SELECT count(DISTINCT session_id) FILTER (t < t_before) AS out_of_order_sessions, count(*) AS events_checked
-        FROM walk"""
+        steps AS (SELECT session_id, event_timestamp AS t, list_position({STEPS}, event_type) AS place FROM stg),
+        swapped AS (SELECT DISTINCT a.session_id FROM steps a JOIN steps b
+                    ON a.session_id = b.session_id AND a.place < b.place AND b.t < a.t)
+        SELECT (SELECT count(*) FROM swapped) AS out_of_order_sessions, count(*) AS events_checked FROM stg"""
     attributes = ["variant", "device", "acquisition_channel", "signup_date", "event_type"]
     attribute_check = f"""WITH {EVENTS}, per_user AS (SELECT user_id,
         {', '.join(f'count(DISTINCT {a}) AS {a}' for a in attributes)} FROM stg GROUP BY user_id)

@@ -46,14 +46,17 @@ def session_slices(events: DataFrame, user: str, ts: str, gap_hours: int) -> Dat
     )
 
 
-def sessionize(events: DataFrame, user: str, ts: str, gap_hours: int) -> DataFrame:
+def sessionize(events: DataFrame, user: str, ts: str, gap_hours: int, with_first: bool = False) -> DataFrame:
     """``events`` plus ``session_no``: a new session after more than ``gap_hours`` idle.
 
+    ``with_first`` adds ``user_first_ts``, the time of the user's first event.
+
     Every event is kept; one without a user or a time belongs to no session (NULL). The
     join is left to adaptive execution: it broadcasts the slices if they turn out
     small and splits a slice that holds much of the data if they do not.
     """
-    slices = session_slices(events, user, ts, gap_hours).select(user, "slice", "session_no")
+    columns = [user, "slice", "session_no", *["user_first_ts"] * with_first]
+    slices = session_slices(events, user, ts, gap_hours).select(*columns)
     gap = gap_hours * MICROS_PER_HOUR
     return (
         events.withColumn("slice", slice_start(F.col(ts), gap))

@@ -1,19 +1,23 @@
 """Funnel events from the plain ``events`` table (user, time, type only).
 
-Sessions come from inactivity gaps, the first six events of a session become the six
-funnel steps, and the arm, device and channel are fixed functions of the user.
+Sessions come from inactivity gaps, the funnel step from the event's own type (views split by
+the parity of the event id), and the arm, device and channel are fixed functions of the user.
+Every event is kept: steps may repeat, come out of order or be missing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from paceline.operators.sessionize import session_openers
+from paceline.operators.sessionize import sessionize
 from paceline.spec import DEFAULT_DOMAINS, DEFAULT_FUNNEL, FunnelSpec
 
 GAP_HOURS = 8
 
 
+# Place of an event in the funnel, from 0, by its type.
+STEP_OF_EVENT = ("CASE event_type WHEN 'view' THEN event_id % 2 * 2 WHEN 'signup' THEN 1 WHEN 'click' THEN 3 "
+                 "WHEN 'error' THEN 4 WHEN 'purchase' THEN 5 END")
 # Arm, device and channel as functions of the numeric user id.
 ARM_OF_USER = "(user_id * 7919 + 13) % 97 % 2"
 DEVICE_OF_USER = "(user_id * 104729 + 7) % 101 % 3"
@@ -26,17 +30,15 @@ def _pick(values: tuple[str, ...], index: str) -> str:
 
 
 def funnel_events(events: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
-    """Staged-event layout over ``events(event_id, ts, user_id)``."""
-    openers = session_openers(
-        events.select("event_id", "ts", "user_id"), "user_id", "ts", "event_id",
-        GAP_HOURS, len(spec.steps),
-    )
+    """Staged-event layout over ``events(event_id, ts, user_id, event_type)``."""
+    columns = events.select("event_id", "ts", "user_id", "event_type")
+    placed = sessionize(columns, "user_id", "ts", GAP_HOURS, with_first=True)
     d = DEFAULT_DOMAINS
-    return openers.selectExpr(
+    return placed.selectExpr(
         f"string(event_id) AS {spec.event_id}",
         f"'usr_' || user_id AS {spec.user}",
         f"'usr_' || user_id || '_s' || session_no AS {spec.session}",
-        f"{_pick(tuple(s.event for s in spec.steps), 'pos - 1')} AS {spec.event_type}",
+        f"{_pick(tuple(s.event for s in spec.steps), STEP_OF_EVENT)} AS {spec.event_type}",
         f"ts AS {spec.event_ts}",
         f"{_pick(d.variant, ARM_OF_USER)} AS {spec.variant}",
         f"{_pick(d.acquisition_channel, CHANNEL_OF_USER)} AS {spec.channel}",

@@ -6,7 +6,7 @@ from paceline.operators.staging import stg_events
 from paceline.sources import landing as land
 from paceline.sources.adapter import funnel_events
 from paceline.streaming import dedup, ingest, sessions as ssessions
-from test_sessions import HOT, RAW
+from test_sessions import HOT, RAW, typed_events
 
 
 def landed(spark, tmp_path, stg, name="landing"):
@@ -21,7 +21,7 @@ def same(a, b):
 
 
 def test_files_are_landed_once_over_several_batches_and_restarts(spark, tmp_path):
-    stg = funnel_events(spark.createDataFrame(HOT, RAW)).drop("ingested_at")
+    stg = funnel_events(typed_events(spark)).drop("ingested_at")
     first, second = stg.where("int(event_id) % 2 = 0"), stg.where("int(event_id) % 2 = 1")
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
     path = landed(spark, tmp_path, first)
@@ -39,7 +39,7 @@ def test_files_are_landed_once_over_several_batches_and_restarts(spark, tmp_path
 
 
 def test_session_stream_equals_batch(spark, tmp_path):
-    stg = funnel_events(spark.createDataFrame(HOT, RAW))
+    stg = funnel_events(typed_events(spark))
     path = landed(spark, tmp_path, stg)
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
     rows = stg_events(ingest.stream_landing(ingest.stream_files(spark, path, max_files=4)))
