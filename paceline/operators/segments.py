@@ -22,6 +22,8 @@ FEATURES = ["days_since_signup", "max_funnel_depth", "bounce_rate", "total_sessi
 
 # Mean pairwise distance is quadratic: it is scored on at most this many users.
 SILHOUETTE_SAMPLE = 10_000
+# Fixed value: the most iterations of one fit; fits stop earlier when centres settle.
+MAX_ITERATIONS = 300
 _BLOCK = 512
 
 
@@ -157,7 +159,7 @@ def silhouette_squared(df: DataFrame, vector: str, label: str) -> float:
 
 def _best_fit(vectors: DataFrame, k: int, restarts: int, seed: int, pool: ThreadPoolExecutor):
     def fit(attempt: int) -> tuple[float, int, KMeansModel]:
-        model = KMeans(k=k, seed=seed + attempt, featuresCol="features", maxIter=50).fit(vectors)
+        model = KMeans(k=k, seed=seed + attempt, featuresCol="features", maxIter=MAX_ITERATIONS).fit(vectors)
         return model.summary.trainingCost, attempt, model
 
     return pool.map(fit, range(restarts))
