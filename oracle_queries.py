@@ -1,14 +1,13 @@
 """The registered queries as plain SQL for an independent engine.
 
 Written from the definitions, not from the Spark code: sessions come from lag and a running
-sum over all events, retention from a join of cohorts with activity, distinct counts are
-literal, curves use plain windows over each group.
+sum over all events, retention from each user's list of active days, exits from the greatest
+(time, id), distinct counts are literal, curves use plain windows over each group. The data
+tests are listed here on their own.
 """
 
 from __future__ import annotations
 
-from paceline.operators.quality import declared_rules
-
 STEPS = ["view_homepage", "search_product", "view_product_details", "add_to_cart",
          "checkout_initiated", "purchase_completed"]
 
@@ -33,11 +32,12 @@ stg AS (
               ELSE MAP {'signup': 'search_product', 'click': 'add_to_cart', 'error': 'checkout_initiated',
                         'purchase': 'purchase_completed'}[kind] END AS event_type,
          ts AS event_timestamp,
-         ['control', 'new_checkout_ui'][CAST((user_id * 7919 + 13) % 97 % 2 + 1 AS INTEGER)] AS variant,
-         ['Organic', 'Google_Ads', 'Email', 'Direct'][CAST((user_id * 1299709 + 3) % 103 % 4 + 1 AS INTEGER)]
-           AS acquisition_channel,
+         CASE WHEN (user_id * 7919 + 13) % 97 % 5 < 3 THEN 'control' ELSE 'new_checkout_ui' END AS variant,
+         ['Organic', 'Google_Ads', 'Email', 'Direct'][CAST(((user_id * 1299709 + 3) % 103
+           + CASE WHEN user_id % 20 = 3 THEN event_id % 2 ELSE 0 END) % 4 + 1 AS INTEGER)] AS acquisition_channel,
          CAST(first_ts AS DATE) AS signup_date,
-         ['desktop', 'mobile', 'tablet'][CAST((user_id * 104729 + 7) % 101 % 3 + 1 AS INTEGER)] AS device
+         CASE WHEN user_id % 20 <> 7 THEN
+           ['desktop', 'mobile', 'tablet'][CAST((user_id * 104729 + 7) % 101 % 3 + 1 AS INTEGER)] END AS device
   FROM numbered
 )"""
 
@@ -125,51 +125,56 @@ summary AS (
   FROM sessions GROUP BY variant
 )"""
 
-DROPOFF = f"""
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY event_timestamp DESC, event_id DESC) AS event_rank,
-         count(*) OVER (PARTITION BY session_id) AS session_events
-  FROM stg
+def _exits(rows: str, session: str, dims: list[str], share: list[str], kind: str, latest: str) -> str:
+    """Last event of each session by ``arg_max``; totals of the coarser groups are looked up."""
+    packed = ", ".join(f"{d} := {d}" for d in dims)
+    shown = ", ".join(f"ended.{d} AS {d}" for d in dims)
+    listed = ", ".join(dims)
+    whole = " AND ".join(f"t.{d} IS NOT DISTINCT FROM o.{d}" for d in share) or "true"
+    return f"""
+session_ends AS (
+  SELECT {session}, count(*) AS size, arg_max(struct_pack({packed}, kind := {kind}), struct_pack({latest})) AS ended
+  FROM {rows} GROUP BY {session}
 ),
-exits AS (
-  SELECT device, variant, acquisition_channel, event_type AS exit_event,
-         count(DISTINCT session_id) AS total_exits,
-         count(*) FILTER (session_events = 1) AS bounced_sessions
-  FROM ranked WHERE event_rank = 1 GROUP BY ALL
+by_kind AS (
+  SELECT {shown}, ended.kind AS exit_event, count({session}) AS total_exits,
+         count(*) FILTER (size = 1) AS bounced_sessions
+  FROM session_ends GROUP BY ALL
 ),
 dropoff AS (
-  SELECT *, {_rate('total_exits', 'sum(total_exits) OVER (PARTITION BY device, variant)')} AS exit_percentage
-  FROM exits
+  SELECT {listed}, exit_event, total_exits, bounced_sessions,
+         {_rate('total_exits', f'(SELECT sum(o.total_exits) FROM by_kind o WHERE {whole})')} AS exit_percentage
+  FROM by_kind t
 )"""
 
 
+DROPOFF = _exits("stg", "session_id", ["device", "variant", "acquisition_channel"], ["device", "variant"],
+                 "event_type", "at := event_timestamp, id := event_id")
+
+
 def _retention(activity: str, user: str, dims: list[str], signup: str, active: str) -> str:
+    """Each user's ages in days when active, as a list per cohort; windows filter the lists."""
     keys = ", ".join(dims)
-    same = " AND ".join(f"c.{d} = s.{d}" for d in dims)
-    cohort = ", ".join(f"c.{d}" for d in dims)
+    known = " AND ".join(f"{d} IS NOT NULL" for d in ["joined", *dims, user])
 
     def users(low: int, high: int) -> str:
-        return f"count(DISTINCT CASE WHEN s.days BETWEEN {low} AND {high} THEN s.{user} END)"
+        return (f"count(*) FILTER ({known} AND "
+                f"len(list_filter(ages, lambda d: d >= {low} AND d <= {high})) > 0)")
 
     return f"""
-user_days AS (
-  SELECT {user}, {keys}, CAST({active} AS DATE) AS active_on, max(CAST({signup} AS DATE)) AS signup_on,
-         date_diff('day', max(CAST({signup} AS DATE)), CAST({active} AS DATE)) AS days
-  FROM {activity} GROUP BY {user}, {keys}, CAST({active} AS DATE)
-),
-cohorts AS (
-  SELECT signup_on AS cohort_date, {keys}, count(DISTINCT {user}) AS cohort_size
-  FROM user_days GROUP BY signup_on, {keys}
+lives AS (
+  SELECT {user}, {keys}, CAST({signup} AS DATE) AS joined,
+         list(date_diff('day', CAST({signup} AS DATE), CAST({active} AS DATE))) AS ages
+  FROM {activity} GROUP BY ALL
 ),
 retention AS (
-  SELECT c.cohort_date, {cohort}, c.cohort_size,
+  SELECT joined AS cohort_date, {keys}, count({user}) AS cohort_size,
          {users(0, 0)} AS newest_users, {users(6, 8)} AS first_week_users,
          {users(13, 15)} AS second_week_users, {users(28, 30)} AS month_users,
-         {_rate(users(1, 1), 'c.cohort_size')} AS d1_retention_rate,
-         {_rate(users(6, 8), 'c.cohort_size')} AS d7_retention_rate,
-         {_rate(users(13, 15), 'c.cohort_size')} AS d14_retention_rate
-  FROM cohorts c LEFT JOIN user_days s ON c.cohort_date = s.signup_on AND {same}
-  GROUP BY c.cohort_date, {cohort}, c.cohort_size
+         {_rate(users(1, 1), f'count({user})')} AS d1_retention_rate,
+         {_rate(users(6, 8), f'count({user})')} AS d7_retention_rate,
+         {_rate(users(13, 15), f'count({user})')} AS d14_retention_rate
+  FROM lives GROUP BY joined, {keys}
 )"""
 
 
@@ -198,52 +203,133 @@ MODELS = {
 }
 
 
-def _rule_sql(rule, source: str) -> str:
-    head = f"'{rule.kind}' AS test, '{rule.model}' AS model, '{rule.column}' AS \"column\""
-    scope = f"({rule.where})" if rule.where else "true"
-    if rule.kind == "not_null":
-        bad = f"{rule.columns[0]} IS NULL"
-    elif rule.kind == "accepted_values":
-        values = ", ".join(repr(v) for v in rule.values)
-        numeric = rule.values and isinstance(rule.values[0], int)
-        column = f"CAST({rule.columns[0]} AS INTEGER)" if numeric else rule.columns[0]
-        bad = f"{column} NOT IN ({values})"
-    else:
-        known = f"WHERE {rule.columns[0]} IS NOT NULL" if rule.kind == "unique" else ""
-        return (f"SELECT {head}, count(*) FILTER (n > 1) AS failures, CAST(coalesce(sum(n), 0) AS BIGINT) "
-                f"AS rows_checked FROM (SELECT count(*) AS n FROM {source} {known} GROUP BY {rule.column})")
-    return (f"SELECT {head}, count(*) FILTER ({scope} AND {bad}) AS failures, "
-            f"count(*) FILTER ({scope}) AS rows_checked FROM {source}")
+ARMS = ["control", "new_checkout_ui"]
+DEVICES = ["desktop", "mobile", "tablet"]
+CHANNELS = ["Organic", "Google_Ads", "Email", "Direct"]
+VISITS = ["new_user", "returning_user"]
+REACHED_BY = ["homepage_views", "has_searched_product", "has_viewed_product", "added_to_cart", "has_checkout",
+              "has_purchased"]
+
+# The declared data tests, by table: columns without NULL, keys, accepted values
+# (a third item limits the rule to rows that match it).
+RULES = {
+    "stg_events": (
+        "event_id user_id session_id variant event_type event_timestamp device ingested_at acquisition_channel "
+        "signup_date",
+        ["event_id"],
+        [("variant", ARMS), ("event_type", STEPS), ("device", DEVICES), ("acquisition_channel", CHANNELS)]),
+    "int_sessions": (
+        "session_id user_id variant device acquisition_channel user_type " + " ".join(REACHED_BY),
+        ["session_id"],
+        [("variant", ARMS), ("user_type", VISITS), *[(c, [0, 1]) for c in REACHED_BY]]),
+    "int_step_transition": (
+        "session_id user_id device variant acquisition_channel user_type homepage_ts session_end",
+        ["session_id"],
+        [("device", DEVICES), ("variant", ARMS), ("acquisition_channel", CHANNELS), ("user_type", VISITS)]),
+    "fct_conversion_funnel": (
+        "variant device acquisition_channel user_type total_sessions unique_users overall_conversion_rate",
+        [],
+        [("variant", ARMS), ("device", DEVICES), ("acquisition_channel", CHANNELS), ("user_type", VISITS)]),
+    "fct_ab_test_summary": (
+        "variant total_sessions total_users total_conversions overall_conversion_rate checkout_to_purchase_rate",
+        ["variant"],
+        [("variant", ARMS)]),
+    "fct_user_retention": (
+        "cohort_date variant cohort_size d1_retention_rate",
+        ["cohort_date,variant,acquisition_channel"],
+        [("variant", ARMS)]),
+    "fct_ab_transitions": (
+        "variant grain total_sessions",
+        ["variant,device,acquisition_channel,user_type"],
+        [("variant", ARMS), ("grain", ["segment_level", "variant_level"]),
+         ("device", DEVICES, "grain = 'segment_level'"), ("acquisition_channel", CHANNELS, "grain = 'segment_level'"),
+         ("user_type", VISITS, "grain = 'segment_level'")]),
+    "fct_session_dropoff": (
+        "exit_event total_exits bounced_sessions",
+        ["device,variant,acquisition_channel,exit_event"],
+        [("exit_event", STEPS)]),
+}
+
 
+def _rules(model: str, source: str) -> list[str]:
+    """One SELECT per declared test of a table."""
+    filled, keys, domains = RULES[model]
+    out = []
+
+    def report(kind: str, column: str, failures: str, checked: str, rows: str) -> None:
+        out.append(f"SELECT '{kind}' AS test, '{model}' AS model, '{column}' AS \"column\", "
+                   f"{failures} AS failures, {checked} AS rows_checked FROM {rows}")
+
+    for c in filled.split():
+        report("not_null", c, f"count(*) - count({c})", "count(*)", source)
+    for key in keys:
+        single = "," not in key
+        scope = f"WHERE {key} IS NOT NULL" if single else ""
+        report("unique" if single else "unique_combination", key, "count(*) FILTER (n > 1)",
+               "CAST(coalesce(sum(n), 0) AS BIGINT)", f"(SELECT count(*) AS n FROM {source} {scope} GROUP BY {key})")
+    for c, values, *where in domains:
+        scope = f"WHERE {where[0]}" if where else ""
+        value = f"CAST({c} AS INTEGER)" if values == [0, 1] else c
+        report("accepted_values", c, f"count({c}) - count(*) FILTER (list_contains({values}, {value}))", "count(*)",
+               f"(SELECT * FROM {source} {scope})")
+    return out
+
+
+def _assertions() -> dict[tuple[str, str], str]:
+    """(name, table) to the number of violations, derived from the list of steps."""
+    times = [f"CAST({c} AS INTEGER)" for c in REACHED_BY]
+    skipped = [f"({times[i]} = 1 AND {times[i - 1]} = 0)" for i in range(2, len(times))]
+    skipped.append(f"{times[0]} + {times[1]} = 0")
+    active = "newest_users, first_week_users, second_week_users, month_users"
+    rates = "d1_retention_rate, d7_retention_rate, d14_retention_rate"
+    return {
+        ("funnel_monotonicity", "int_sessions"): f"(SELECT count(*) FILTER ({' OR '.join(skipped)}) FROM sessions)",
+        ("no_negative_transitions", "int_step_transition"):
+            f"(SELECT count(*) FILTER (least({', '.join(GAPS)}) < 0) FROM transitions)",
+        ("dropoff_percentage_sum", "fct_session_dropoff"):
+            "(SELECT count(*) FILTER (pct < 99 OR pct > 101) FROM "
+            "(SELECT round(sum(exit_percentage), 1) AS pct FROM dropoff GROUP BY device, variant))",
+        ("no_full_exit_segment", "fct_session_dropoff"):
+            "(SELECT CAST(coalesce(sum(whole), 0) AS BIGINT) FROM (SELECT count(*) FILTER (exit_percentage >= 100) "
+            "AS whole, sum(total_exits) AS n FROM dropoff WHERE device || variant || acquisition_channel IS NOT NULL "
+            "GROUP BY device, variant, acquisition_channel) WHERE n >= 10)",
+        ("retention_bounds", "fct_user_retention"):
+            f"(SELECT count(*) FILTER (greatest({active}) > cohort_size OR greatest({rates}) > 100 "
+            "OR d1_retention_rate < 0) FROM retention)",
+    }
 
-def _assertion(name: str, model: str, violations: str) -> str:
-    return (f"SELECT '{name}' AS test, '{model}' AS model, '*' AS \"column\", "
-            f"(SELECT count(*) FROM ({violations})) AS failures, count(*) AS rows_checked FROM {MODELS[model]}")
+
+def _suite(tables: str, source: dict[str, str], assertions: bool = True) -> str:
+    parts = [part for model in source for part in _rules(model, source[model])]
+    if assertions:
+        parts += [f"SELECT '{name}' AS test, '{model}' AS model, '*' AS \"column\", {violations} AS failures, "
+                  f"count(*) AS rows_checked FROM {source[model]}"
+                  for (name, model), violations in _assertions().items()]
+    return f"WITH {tables} " + " UNION ALL ".join(parts)
 
 
 def _dq_suite() -> str:
-    parts = [_rule_sql(r, MODELS[r.model] if r.column != "ingested_at" else "landed") for r in declared_rules()]
-    parts += [
-        _assertion("funnel_monotonicity", "int_sessions", """
-            SELECT 1 FROM sessions WHERE (has_purchased AND NOT has_checkout) OR (has_checkout AND added_to_cart = 0)
-            OR (added_to_cart = 1 AND has_viewed_product = 0) OR (has_viewed_product = 1 AND has_searched_product = 0)
-            OR (has_searched_product = 0 AND homepage_views = 0)"""),
-        _assertion("no_negative_transitions", "int_step_transition",
-                   "SELECT 1 FROM transitions WHERE " + " OR ".join(f"{g} < 0" for g in GAPS)),
-        _assertion("dropoff_percentage_sum", "fct_session_dropoff", """
-            SELECT device, variant FROM dropoff GROUP BY device, variant
-            HAVING round(sum(exit_percentage), 1) NOT BETWEEN 99 AND 101"""),
-        _assertion("no_full_exit_segment", "fct_session_dropoff", """
-            SELECT 1 FROM dropoff d JOIN (SELECT device, variant, acquisition_channel, sum(total_exits) AS n
-            FROM dropoff GROUP BY ALL) t USING (device, variant, acquisition_channel)
-            WHERE exit_percentage >= 100 AND n >= 10"""),
-        _assertion("retention_bounds", "fct_user_retention", """
-            SELECT 1 FROM retention WHERE newest_users > cohort_size OR first_week_users > cohort_size
-            OR second_week_users > cohort_size OR month_users > cohort_size OR d1_retention_rate NOT BETWEEN 0 AND 100
-            OR d7_retention_rate > 100 OR d14_retention_rate > 100"""),
-    ]
-    return (f"WITH {ALL_TABLES}, landed AS (SELECT event_id, now() AS ingested_at FROM stg) "
-            + " UNION ALL ".join(parts))
+    landed = "landed AS (SELECT *, now() AS ingested_at FROM stg)"
+    return _suite(f"{ALL_TABLES}, {landed}", {**MODELS, "stg_events": "landed"})
+
+
+# Staged events followed by damaged copies of them: see the query of the same name.
+DAMAGED = EVENTS + """,
+damaged AS (
+  SELECT event_id, user_id, session_id, event_type, event_timestamp, variant, acquisition_channel, signup_date, device,
+         now() AS ingested_at FROM stg
+  UNION ALL
+  SELECT event_id, CASE WHEN hash_id % 2 = 0 THEN user_id END, CASE WHEN hash_id % 3 = 0 THEN session_id END,
+         CASE WHEN hash_id % 5 = 0 THEN 'unknown_step' ELSE event_type END, event_timestamp,
+         CASE WHEN hash_id % 7 = 0 THEN 'third_arm' WHEN hash_id % 7 > 1 THEN variant END,
+         CASE WHEN hash_id % 11 = 0 THEN 'Billboard' WHEN hash_id % 11 > 1 THEN acquisition_channel END,
+         CASE WHEN hash_id % 13 > 0 THEN signup_date END, CASE WHEN hash_id % 17 = 0 THEN 'watch' ELSE device END,
+         CASE WHEN hash_id % 19 > 0 THEN now() END
+  FROM (SELECT *, CAST(event_id AS BIGINT) AS hash_id FROM stg)
+  UNION ALL
+  SELECT NULL, user_id, session_id, NULL, NULL, variant, acquisition_channel, signup_date, device, now()
+  FROM stg WHERE CAST(event_id AS BIGINT) % 23 = 0
+)"""
 
 
 USERS = """
@@ -256,9 +342,11 @@ users AS (SELECT user_id, variant, device, acquisition_channel FROM first_sessio
 
 TABLE = """
 contingency AS (
-  SELECT 'device' AS covariate, variant, device AS level, count(*) AS users FROM users GROUP BY variant, device
+  SELECT 'device' AS covariate, variant, device AS level, count(*) AS users FROM users
+  WHERE device IS NOT NULL GROUP BY variant, device
   UNION ALL
-  SELECT 'acquisition_channel', variant, acquisition_channel, count(*) FROM users GROUP BY variant, acquisition_channel
+  SELECT 'acquisition_channel', variant, acquisition_channel, count(*) FROM users
+  WHERE acquisition_channel IS NOT NULL GROUP BY variant, acquisition_channel
 )"""
 
 
@@ -499,18 +587,10 @@ activity AS (
 ), {_retention('activity', 'o_custkey', ['c_mktsegment'], 'first_order', 'o_orderdate')}
 SELECT * FROM retention"""
 
-ORDERS_DROPOFF = f"""WITH ranked AS (
-  SELECT c.c_custkey, c.c_mktsegment, o.o_orderpriority,
-         row_number() OVER (PARTITION BY o.o_custkey ORDER BY o.o_orderdate DESC, o.o_orderkey DESC) AS rn,
-         count(*) OVER (PARTITION BY o.o_custkey) AS n
-  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
-),
-exits AS (
-  SELECT c_mktsegment, o_orderpriority AS exit_event, count(DISTINCT c_custkey) AS total_exits,
-         count(*) FILTER (n = 1) AS bounced_sessions
-  FROM ranked WHERE rn = 1 GROUP BY c_mktsegment, o_orderpriority
-)
-SELECT *, {_rate('total_exits', 'sum(total_exits) OVER (PARTITION BY c_mktsegment)')} AS exit_percentage FROM exits"""
+ORDERS_DROPOFF = f"""WITH placed AS (SELECT * FROM orders JOIN customer ON c_custkey = o_custkey),
+{_exits('placed', 'c_custkey', ['c_mktsegment'], ['c_mktsegment'], 'o_orderpriority',
+        'at := o_orderdate, id := o_orderkey')}
+SELECT * FROM dropoff"""
 
 
 def oracle() -> dict[str, str]:
@@ -585,6 +665,7 @@ def oracle() -> dict[str, str]:
         "fct_ab_transitions": f"WITH {TRANSITIONS}, {AB_TRANSITIONS} SELECT * FROM ab_transitions",
         "built_tables": f"WITH {ALL_TABLES} {dim_counts}",
         "dq_suite": _dq_suite(),
+        "dq_damaged_events": _suite(DAMAGED, {"stg_events": "damaged"}, assertions=False),
         "event_order_check": order_check,
         "user_attribute_check": attribute_check,
         "repeated_step_check": RAW_SESSIONS,

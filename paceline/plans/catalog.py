@@ -204,6 +204,27 @@ def dq_suite(spark, sf_dir):
     return quality.run_suite(build_tables(events(spark, sf_dir), new_dir(spark, "tables")))
 
 
+@query
+def dq_damaged_events(spark, sf_dir):
+    """The data tests of staged events over the events and damaged copies of them: repeated
+    and missing ids, unknown values, missing attributes. Every kind of rule finds rows."""
+    stg = written(events(spark, sf_dir), "stg_events")
+    n = "bigint(event_id)"
+    damaged = stg.selectExpr(
+        "event_id", f"IF({n} % 2 = 0, user_id, NULL) AS user_id", f"IF({n} % 3 = 0, session_id, NULL) AS session_id",
+        f"IF({n} % 5 = 0, 'unknown_step', event_type) AS event_type", "event_timestamp",
+        f"CASE WHEN {n} % 7 = 0 THEN 'third_arm' WHEN {n} % 7 > 1 THEN variant END AS variant",
+        f"CASE WHEN {n} % 11 = 0 THEN 'Billboard' WHEN {n} % 11 > 1 THEN acquisition_channel END "
+        "AS acquisition_channel",
+        f"IF({n} % 13 > 0, signup_date, NULL) AS signup_date", f"IF({n} % 17 = 0, 'watch', device) AS device",
+        f"IF({n} % 19 > 0, ingested_at, NULL) AS ingested_at")
+    nameless = stg.where(f"{n} % 23 = 0").selectExpr(*[
+        f"CAST(NULL AS {kind}) AS {c}" if c in ("event_id", "event_type", "event_timestamp") else c
+        for c, kind in stg.dtypes])
+    whole = written(stg.unionByName(damaged).unionByName(nameless), "damaged_events")
+    return quality.run_suite({"stg_events": whole})
+
+
 @query
 def event_order_check(spark, sf_dir):
     return quality.event_order_flags(events(spark, sf_dir)).agg(

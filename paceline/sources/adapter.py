@@ -1,7 +1,7 @@
 """Funnel events from the plain ``events`` table (user, time, type only).
 
 Sessions come from inactivity gaps, the funnel step from the event's own type (views split by
-the parity of the event id), and the arm, device and channel are fixed functions of the user.
+the parity of the event id), and the arm, device and channel are functions of the user.
 Every event is kept: steps may repeat, come out of order or be missing.
 """
 
@@ -18,15 +18,16 @@ GAP_HOURS = 8
 # Place of an event in the funnel, from 0, by its type.
 STEP_OF_EVENT = ("CASE event_type WHEN 'view' THEN event_id % 2 * 2 WHEN 'signup' THEN 1 WHEN 'click' THEN 3 "
                  "WHEN 'error' THEN 4 WHEN 'purchase' THEN 5 END")
-# Arm, device and channel as functions of the numeric user id.
-ARM_OF_USER = "(user_id * 7919 + 13) % 97 % 2"
-DEVICE_OF_USER = "(user_id * 104729 + 7) % 101 % 3"
-CHANNEL_OF_USER = "(user_id * 1299709 + 3) % 103 % 4"
+# Arm, device and channel as functions of the numeric user id. Arms are unequal, one user in
+# twenty has no device, and for another one in twenty the channel differs between events.
+ARM_OF_USER = "CASE WHEN (user_id * 7919 + 13) % 97 % 5 < 3 THEN 0 ELSE 1 END"
+DEVICE_OF_USER = "CASE WHEN user_id % 20 <> 7 THEN (user_id * 104729 + 7) % 101 % 3 END"
+CHANNEL_OF_USER = "((user_id * 1299709 + 3) % 103 + IF(user_id % 20 = 3, event_id % 2, 0)) % 4"
 
 
 def _pick(values: tuple[str, ...], index: str) -> str:
-    listed = ", ".join(f"'{v}'" for v in values)
-    return f"element_at(array({listed}), int({index}) + 1)"
+    """The value at ``index``, NULL for a NULL index (``element_at`` would give some value)."""
+    return f"CASE int({index}) " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
 
 
 def funnel_events(events: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
