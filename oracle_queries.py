@@ -477,11 +477,55 @@ SELECT 'label' AS labelling, count(*) AS points, count(DISTINCT own) AS clusters
          AS silhouette
 FROM scored"""
 
-CHAPMAN = """
-hours AS (SELECT strftime(ts, '%Y-%m-%d-%H') AS hour, user_id FROM events),
+SILHOUETTE_ALL = """WITH vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL
+),
+to_cluster AS (
+  SELECT a.vec_id, a.label AS own, b.label AS other, count(*) AS peers,
+         sum(list_distance(a.v, b.v) * list_distance(a.v, b.v)) AS total
+  FROM vectors a CROSS JOIN vectors b GROUP BY a.vec_id, a.label, b.label
+),
+scored AS (
+  SELECT vec_id, max(CASE WHEN own = other THEN total / nullif(peers - 1, 0) END) AS inside,
+         min(CASE WHEN own <> other THEN total / peers END) AS nearest
+  FROM to_cluster GROUP BY vec_id
+)
+SELECT 'label' AS labelling, round(avg(CASE WHEN inside IS NULL THEN 0
+         ELSE (nearest - inside) / greatest(nearest, inside) END), 5) AS silhouette
+FROM scored"""
+
+
+def _terms() -> str:
+    """Sessions and conversions per term of the interaction model, by counting."""
+    levels = {"device": DEVICES, "acquisition_channel": sorted(CHANNELS)}
+    arm = "variant = 'new_checkout_ui'"
+    terms = {"Intercept": "true", "variant[T.new_checkout_ui]": arm}
+    for c, values in levels.items():
+        for v in values[1:]:
+            terms[f"{c}[T.{v}]"] = f"{c} = '{v}'"
+            terms[f"variant[T.new_checkout_ui]:{c}[T.{v}]"] = f"{arm} AND {c} = '{v}'"
+    parts = [f"SELECT '{name}' AS term, count(*) FILTER ({hit}) AS sessions, "
+             f"count(*) FILTER ({hit} AND has_purchased) AS observed FROM known" for name, hit in terms.items()]
+    known = "known AS (SELECT * FROM sessions WHERE variant || device || acquisition_channel IS NOT NULL)"
+    return (f"WITH {SESSIONS}, {known} SELECT *, CAST(observed AS DOUBLE) AS expected, true AS converged FROM ("
+            + " UNION ALL ".join(parts) + ")")
+
+
+def _kmeans_check() -> str:
+    means = ", ".join(f"round(avg({c}), 4) AS {c}" for c in FEATURE_NAMES)
+    return f"""WITH {SESSIONS}, {FEATURES}
+        SELECT k, users, CAST(k AS BIGINT) AS clusters, true AS settled, CAST(0 AS BIGINT) AS displaced_centres,
+               true AS cost_falls, {', '.join(FEATURE_NAMES)}
+        FROM (SELECT count(*) AS users, {means} FROM features), (SELECT unnest([2, 3, 4, 5]) AS k)"""
+
+
+def _chapman(seen_in: str, unit: str, who: str, most: int) -> str:
+    return f"""
+hours AS (SELECT {unit} AS hour, {who} AS user_id FROM {seen_in}),
 units AS (SELECT hour, row_number() OVER (ORDER BY md5(hour), hour) AS place, count(*) OVER () AS total
           FROM (SELECT DISTINCT hour FROM hours)),
-half AS (SELECT hour, place, least(4000, total // 2) AS h FROM units),
+half AS (SELECT hour, place, least({most}, total // 2) AS h FROM units),
 seen AS (
   SELECT user_id, max(CASE WHEN place <= h THEN 1 ELSE 0 END) AS in1,
          max(CASE WHEN place > h AND place <= 2 * h THEN 1 ELSE 0 END) AS in2
@@ -503,6 +547,9 @@ chapman AS (
 )"""
 
 
+CHAPMAN = _chapman("events", "strftime(ts, '%Y-%m-%d-%H')", "user_id", 4000)
+
+
 def _sample_size(p1: str) -> str:
     p2 = f"({p1} * 1.1e0)"
     mean = f"(({p1} + {p2}) / 2e0)"
@@ -686,6 +733,13 @@ def oracle() -> dict[str, str]:
         "silhouette_sampled": SILHOUETTE,
         "segment_profile": f"""WITH {SESSIONS}, {FEATURES} SELECT max_funnel_depth, count(*) AS users, {profile}
             FROM features GROUP BY max_funnel_depth""",
+        "silhouette_all": SILHOUETTE_ALL,
+        "kmeans_check": _kmeans_check(),
+        "hte_logit_fit": _terms(),
+        "chapman_folders": "WITH " + _chapman("events", "strftime(ts, 'year=%Y/month=%m/day=%d')", "user_id", 5)
+            + " SELECT * FROM chapman",
+        "chapman_customers": "WITH " + _chapman("orders", "CAST(o_orderdate AS VARCHAR)", "o_custkey", 200)
+            + " SELECT * FROM chapman",
         "chapman_users": f"WITH {CHAPMAN} SELECT * FROM chapman",
         "power_plan": POWER,
         "funnel_reach": _funnel_reach(),

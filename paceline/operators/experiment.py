@@ -8,10 +8,11 @@ checked) and one K-by-K matrix.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paceline.functions.stats import Z_975, chi2_sf, normal_two_sided_p
@@ -242,13 +243,22 @@ def _score_outer(user_cells: DataFrame, cells: list[dict], design: Design, p: np
         .groupBy(spec.user)
         .agg(*[F.sum(F.when(selected(t), residual).otherwise(0.0)).alias(f"s{i}")
                for i, t in enumerate(design.terms)])
+        .select(*[f"s{i}" for i in range(k)])
     )
-    upper = [(i, j) for i in range(k) for j in range(i, k)]
-    row = scores.agg(F.count(F.lit(1)).alias("users"), *[F.sum(F.col(f"s{i}") * F.col(f"s{j}")).alias(f"b{i}_{j}") for i, j in upper]).first()
-    outer = np.zeros((k, k))
-    for i, j in upper:
-        outer[i, j] = outer[j, i] = row[f"b{i}_{j}"] or 0.0
-    return outer, row["users"]
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        outer, users = np.zeros((k, k)), 0
+        for batch in batches:
+            s = batch.to_numpy(dtype=np.float64)
+            outer, users = outer + s.T @ s, users + len(s)
+        yield pd.DataFrame({"i": range(-1, k), "users": [users] * (k + 1), "line": [[0.0] * k, *outer.tolist()]})
+
+    # One k x k matrix per task, a line of it a row.
+    lines = scores.mapInPandas(add_up, "i int, users long, line array<double>")
+    summed = lines.groupBy("i").agg(F.sum("users").alias("users"), *[F.sum(F.get("line", F.lit(j))).alias(f"c{j}")
+                                                                     for j in range(k)])
+    got = {r["i"]: r for r in summed.collect()}
+    return np.array([[got[i][f"c{j}"] for j in range(k)] for i in range(k)]), got[-1]["users"]
 
 
 def hte_logit(sessions: DataFrame, exp: ExperimentSpec = DEFAULT_EXPERIMENT,
@@ -257,7 +267,8 @@ def hte_logit(sessions: DataFrame, exp: ExperimentSpec = DEFAULT_EXPERIMENT,
 
     Sessions reduce to successes and trials per (user, cell), written once; the fit needs
     only the cell totals and the covariance one more pass over that table. Coefficients
-    are NULL and ``converged`` false when the data separate.
+    are NULL and ``converged`` false when the data separate. ``sessions`` and ``observed`` count
+    a term's sessions and conversions, ``expected`` what the fit expects of them.
     """
     keys = [spec.variant, *exp.covariates]
     complete = sessions.where(F.col(exp.outcome).isNotNull()).dropna(subset=keys)
@@ -277,20 +288,29 @@ def hte_logit(sessions: DataFrame, exp: ExperimentSpec = DEFAULT_EXPERIMENT,
     n = np.array([float(c["n"]) for c in cells])
     y = np.array([float(c["y"]) for c in cells])
     beta, info, converged = fit_grouped_logit(x, n, y)
-    schema = ("term string, coef double, std_err double, z double, p_value double, "
-              "ci_low double, ci_high double, converged boolean")
+    schema = ("term string, coef double, std_err double, z double, p_value double, ci_low double, ci_high double, "
+              "sessions long, observed long, expected double, converged boolean")
     spark = sessions.sparkSession
     names = [design.name(t) for t in design.terms]
     if not converged:
-        return spark.createDataFrame([(t, *[None] * 6, False) for t in names], schema)
+        return spark.createDataFrame(
+            [(t, *[None] * 6, int(s), int(o), None, False) for t, s, o in zip(names, x.T @ n, x.T @ y)], schema)
     p = 1.0 / (1.0 + np.exp(-(x @ beta)))
     outer, groups = _score_outer(user_cells, cells, design, p, spec)
     bread = np.linalg.inv(info)
     total, k = n.sum(), len(names)
-    factor = groups / (groups - 1) * (total - 1) / (total - k)
+    # Without a second user or a session more than terms there is no spread to report.
+    spread = groups > 1 and total > k
+    factor = groups / (groups - 1) * (total - 1) / (total - k) if spread else 0.0
     se = np.sqrt(np.diag(factor * bread @ outer @ bread))
+
+    def interval(b: float, s: float) -> tuple:
+        if not s > 0:
+            return float(b), None, None, None, None, None
+        return (float(b), float(s), float(b / s), math.erfc(abs(b / s) / math.sqrt(2.0)),
+                float(b - Z_975 * s), float(b + Z_975 * s))
+
     return spark.createDataFrame([
-        (t, float(b), float(s), float(b / s), math.erfc(abs(b / s) / math.sqrt(2.0)),
-         float(b - Z_975 * s), float(b + Z_975 * s), True)
-        for t, b, s in zip(names, beta, se)
+        (t, *interval(b, s), int(sessions_in), int(observed), float(expected), True)
+        for t, b, s, sessions_in, observed, expected in zip(names, beta, se, x.T @ n, x.T @ y, x.T @ (n * p))
     ], schema)

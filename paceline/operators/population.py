@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from paceline.functions.stats import sample_size
 from paceline.operators.staging import stg_events
-from paceline.sources.landing import list_files, read_landing
+from paceline.sources.landing import DATE_FOLDERS, list_files, read_landing
 from paceline.spec import DEFAULT_EXPERIMENT, DEFAULT_FUNNEL, ExperimentSpec, FunnelSpec
 
 # At most this many landed units (files, or any other grain) per capture.
@@ -92,6 +92,27 @@ def chapman_from_files(spark: SparkSession, path: str, capture_units: int = CAPT
     return chapman_from_counts(_overlap(parts[0].unionByName(parts[1]), spec.user))
 
 
+def chapman_from_folders(spark: SparkSession, path: str, capture_units: int = CAPTURE_UNITS,
+                         spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
+    """The same with the date folders of the landing as units.
+
+    Folder names below the root, unlike file names, are the same however often the files
+    are written. At most twice ``capture_units`` folder names reach the driver.
+    """
+    depth = len(DATE_FOLDERS)
+    folder = F.regexp_replace("source_file", "/[^/]*$", "")
+    folders = list_files(spark, path).select(
+        folder.alias("folder"), F.substring_index(folder, "/", -depth).alias("unit")).distinct()
+    picked = captures(folders, "unit", capture_units).join(folders, "unit").collect()
+    seen = spark.createDataFrame([], f"{spec.user} string, capture int")
+    for capture in (1, 2):
+        chosen = [r["folder"] for r in picked if r["capture"] == capture]
+        if chosen:
+            users = stg_events(read_landing(spark, chosen), spec, strict=False).select(spec.user)
+            seen = seen.unionByName(users.withColumn("capture", F.lit(capture)))
+    return chapman_from_counts(_overlap(seen, spec.user))
+
+
 def power_plan(sessions: DataFrame, dims: Sequence[str], exp: ExperimentSpec = DEFAULT_EXPERIMENT,
                spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
     """Checkout sessions needed per arm and segment, from the control arm's own rate."""

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paceline.functions.time import elapsed_days
@@ -24,6 +22,8 @@ FEATURES = ["days_since_signup", "max_funnel_depth", "bounce_rate", "total_sessi
 SILHOUETTE_SAMPLE = 10_000
 # Fixed value: the most iterations of one fit; fits stop earlier when centres settle.
 MAX_ITERATIONS = 300
+# Starting centres are drawn from at most this many users; the fits run over all.
+SEED_ROWS = 10_000
 _BLOCK = 512
 
 
@@ -62,33 +62,9 @@ def standardize(df: DataFrame, cols: Sequence[str], prefix: str = "") -> DataFra
     return df.withColumn("_stats", stats).select(*kept, *[z(c) for c in cols])
 
 
-def hash_sample(df: DataFrame, id_col: str, n: int, share: float = 1.0) -> DataFrame:
-    """A repeatable random sample of ``n`` rows: the smallest hashes of the id.
-
-    ``share`` keeps only hashes in that lowest share of their range before the ordering;
-    the result is the same as long as ``n`` rows remain.
-    """
-    digest = F.md5(F.col(id_col).cast("string"))
-    if share < 1.0:
-        # The leading 48 bits order like the digest itself and fit a DOUBLE exactly.
-        lead = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double")
-        df = df.where(lead < share * 16.0 ** 12)
-    return df.orderBy(digest, id_col).limit(n)
-
-
-def _sample_rows(df: DataFrame, id_col: str, n: int, total: int) -> pd.DataFrame:
-    """The hash sample on the driver, at most ``n`` of about ``total`` rows.
-
-    A top-n hands n rows per partition to one task. Knowing the row count, nearly all
-    rows can be cut by their hash first; if too few remain (rows without a vector, or bad
-    luck) the plain sample is taken instead.
-    """
-    share = (n + 8 * n ** 0.5 + 64) / max(total, 1)
-    if share < 0.5:
-        sample = hash_sample(df, id_col, n, share).toPandas()
-        if len(sample) == n:
-            return sample
-    return hash_sample(df, id_col, n).toPandas()
+def hash_sample(df: DataFrame, id_col: str, n: int) -> DataFrame:
+    """A repeatable random sample of ``n`` rows: the smallest hashes of the id."""
+    return df.orderBy(F.md5(F.col(id_col).cast("string")), id_col).limit(n)
 
 
 def silhouette_points(df: DataFrame, id_col: str, vector: str, labels: Sequence[str],
@@ -101,8 +77,8 @@ def silhouette_points(df: DataFrame, id_col: str, vector: str, labels: Sequence[
     spark = df.sparkSession
     whole = df.dropna(subset=[vector, *labels]).select(
         F.col(id_col), F.col(vector).cast("array<double>").alias("v"), *labels)
-    sample = _sample_rows(whole, id_col, n, df.count())  # the count reads no vectors
-    points = np.array(sample["v"].tolist(), dtype=np.float64).reshape(len(sample), -1)
+    sample = hash_sample(whole, id_col, n).toPandas()
+    points = np.array(sample["v"].tolist(), dtype=np.float64).reshape(len(sample), -1 if len(sample) else 0)
     codes = {c: np.unique(sample[c].to_numpy(), return_inverse=True)[1] for c in labels}
     shared = spark.sparkContext.broadcast((points, codes))
 
@@ -157,54 +133,161 @@ def silhouette_squared(df: DataFrame, vector: str, label: str) -> float:
     return ClusteringEvaluator(featuresCol=vector, predictionCol=label).evaluate(df)
 
 
-def _best_fit(vectors: DataFrame, k: int, restarts: int, seed: int, pool: ThreadPoolExecutor):
-    def fit(attempt: int) -> tuple[float, int, KMeansModel]:
-        model = KMeans(k=k, seed=seed + attempt, featuresCol="features", maxIter=MAX_ITERATIONS).fit(vectors)
-        return model.summary.trainingCost, attempt, model
+def silhouette_all(df: DataFrame, vector: str, labels: Sequence[str]) -> DataFrame:
+    """``silhouette_squared`` of several labellings of an array column; rows without vector or
+    label are left out, and a labelling with fewer than two clusters scores NULL."""
+    rows = []
+    for c in labels:
+        known = df.dropna(subset=[vector, c]).select(
+            array_to_vector(F.col(vector).cast("array<double>")).alias("v"), F.col(c).cast("double").alias("label"))
+        several = known.select("label").distinct().limit(2).count() > 1
+        rows.append((c, round(silhouette_squared(known, "v", "label"), 5) if several else None))
+    return df.sparkSession.createDataFrame(rows, "labelling string, silhouette double")
+
+
+def _seeds(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ centres: each next one drawn by its squared distance to those before."""
+    chosen = [points[rng.integers(len(points))]]
+    nearest = ((points - chosen[0]) ** 2).sum(axis=1)
+    while len(chosen) < k:
+        total = nearest.sum()
+        pick = rng.choice(len(points), p=nearest / total) if total > 0 else rng.integers(len(points))
+        chosen.append(points[pick])
+        nearest = np.minimum(nearest, ((points - chosen[-1]) ** 2).sum(axis=1))
+    return np.array(chosen)
 
-    return pool.map(fit, range(restarts))
+
+def _cluster_sums(vectors: DataFrame, cols: Sequence[str], centres: dict[int, np.ndarray]) -> pd.DataFrame:
+    """Rows, cost and coordinate sums per (fit, cluster) for all given fits, in one pass.
+
+    A task sends one row per (fit, cluster), whatever number of rows it reads.
+    """
+    cols, width = list(cols), len(cols)
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = {f: np.zeros(len(c)) for f, c in centres.items()}
+        cost = {f: np.zeros(len(c)) for f, c in centres.items()}
+        sums = {f: np.zeros(c.shape) for f, c in centres.items()}
+        for batch in batches:
+            x = batch[cols].to_numpy(dtype=np.float64)
+            square = (x * x).sum(axis=1)
+            for f, c in centres.items():
+                gap = np.maximum(square[:, None] - 2.0 * x @ c.T + (c * c).sum(axis=1), 0.0)
+                own = gap.argmin(axis=1)
+                member = np.eye(len(c))[own]
+                n[f] += member.sum(axis=0)
+                cost[f] += np.bincount(own, weights=gap[np.arange(len(x)), own], minlength=len(c))
+                sums[f] += member.T @ x
+        yield pd.DataFrame([(f, j, n[f][j], cost[f][j], *sums[f][j]) for f, c in centres.items() for j in range(len(c))],
+                           columns=["fit", "cluster", "n", "cost", *[f"s{i}" for i in range(width)]])
+
+    totals = ["n", "cost", *[f"s{i}" for i in range(width)]]
+    parts = vectors.select(*cols).mapInPandas(
+        add_up, "fit int, cluster int, " + ", ".join(f"{c} double" for c in totals))
+    return parts.groupBy("fit", "cluster").agg(*[F.sum(c).alias(c) for c in totals]).toPandas()
+
+
+def kmeans_fits(vectors: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int], restarts: int, seed: int,
+                *, max_iterations: int = MAX_ITERATIONS, tolerance: float = 1e-4,
+                seed_rows: int = SEED_ROWS) -> dict[int, tuple[float, np.ndarray, bool]]:
+    """Per k the cheapest of ``restarts`` fits: ``(cost, centres, settled)``.
+
+    All fits advance together, one pass over ``vectors`` per iteration; each leaves when no
+    centre moves by more than ``tolerance``. Every row takes part in every iteration; only
+    the starting centres are drawn from a hash sample of ``seed_rows`` rows. No row, no fit.
+    """
+    sample = hash_sample(vectors.select(id_col, *cols), id_col, seed_rows).toPandas()
+    points = sample[list(cols)].to_numpy(dtype=np.float64)
+    if not len(points):
+        return {}
+    size = {i * restarts + r: k for i, k in enumerate(ks) for r in range(restarts)}
+    centres = {f: _seeds(points, k, np.random.default_rng([seed, f])) for f, k in size.items()}
+    moving = set(size)
+    for _ in range(max_iterations):
+        if not moving:
+            break
+        sums = _cluster_sums(vectors, cols, {f: centres[f] for f in moving}).set_index(["fit", "cluster"])
+        for f in list(moving):
+            moved = centres[f].copy()
+            for j in range(size[f]):
+                row = sums.loc[(f, j)]
+                if row["n"] > 0:  # a centre without rows stays where it is
+                    moved[j] = row.iloc[2:].to_numpy() / row["n"]
+            if ((moved - centres[f]) ** 2).sum(axis=1).max() <= tolerance ** 2:
+                moving.discard(f)
+            centres[f] = moved
+    costs = _cluster_sums(vectors, cols, centres).groupby("fit")["cost"].sum()
+    best = {k: min((costs[f], f) for f in size if size[f] == k) for k in ks}
+    return {k: (float(cost), centres[f], f not in moving) for k, (cost, f) in best.items()}
+
+
+def _square_gap(cols: Sequence[str], centre: Sequence[float]) -> Column:
+    return reduce(lambda a, b: a + b, [(F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(cols, centre)])
+
+
+def nearest_centre(cols: Sequence[str], centres: np.ndarray) -> Column:
+    """Place of the nearest centre, the first of equals."""
+    gaps = F.array(*[_square_gap(cols, c) for c in centres])
+    return (F.array_position(gaps, F.array_min(gaps)) - 1).cast("int")
+
+
+def kmeans_labels(features: DataFrame, id_col: str, cols: Sequence[str] = FEATURES, ks: Sequence[int] = (2, 3, 4, 5),
+                  restarts: int = 10, seed: int = 42) -> tuple[DataFrame, dict[int, tuple[float, np.ndarray, bool]]]:
+    """``features`` with scaled columns ``z_…`` and a label ``k…`` per k, written; and the fits."""
+    z = [f"z_{c}" for c in cols]
+    scaled = written(standardize(written(features, "user_features"), cols, prefix="z_"), "scaled_users")
+    fits = kmeans_fits(scaled, id_col, z, ks, restarts, seed)
+    labels = [(nearest_centre(z, fits[k][1]) if k in fits else F.lit(None).cast("int")).alias(f"k{k}") for k in ks]
+    return written(scaled.select("*", F.array(*z).alias("vector"), *labels), "labelled_users"), fits
 
 
 def kmeans_sweep(features: DataFrame, id_col: str, cols: Sequence[str] = FEATURES,
                  ks: Sequence[int] = (2, 3, 4, 5), restarts: int = 10, seed: int = 42,
-                 sample: int = SILHOUETTE_SAMPLE, parallelism: int = 16) -> tuple[DataFrame, DataFrame]:
+                 sample: int = SILHOUETTE_SAMPLE) -> tuple[DataFrame, DataFrame]:
     """k-means for each ``k``, best of ``restarts`` by cost; the best k by silhouette.
 
-    Returns the scores ``(k, training_cost, silhouette, best)`` and ``features`` with the
-    best labelling as ``cluster``. Fits of one sweep run side by side on one cached table
-    of vectors, as each fit alone leaves a cluster idle between iterations.
+    Returns the scores ``(k, training_cost, settled, silhouette, best)`` and ``features``
+    with the best labelling as ``cluster``. ``settled`` is false if the fit still moved when
+    iterations ran out; costs are NULL without users.
     """
-    spark = features.sparkSession
-    scaled = standardize(written(features, "user_features"), cols, prefix="z_")
-    assembled = VectorAssembler(inputCols=[f"z_{c}" for c in cols], outputCol="features")
-    vectors = assembled.transform(scaled).select(id_col, *cols, "features").persist()
-    best: dict[int, tuple[float, KMeansModel]] = {}
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            runs = {k: _best_fit(vectors, k, restarts, seed, pool) for k in ks}
-            for k in ks:
-                cost, _, model = min(runs[k], key=lambda r: r[:2])
-                best[k] = (cost, model)
-        labelled = vectors
-        for k in ks:
-            labelled = best[k][1].setPredictionCol(f"k{k}").transform(labelled)
-        labelled = written(
-            labelled.withColumn("vector", vector_to_array("features")).drop("features"), "labelled_users")
-    finally:
-        vectors.unpersist()
+    labelled, fits = kmeans_labels(features, id_col, cols, ks, restarts, seed)
     scores = {
         r["labelling"]: r["silhouette"]
         for r in silhouette_sampled(labelled, id_col, "vector", [f"k{k}" for k in ks], sample).collect()
     }
     known = [k for k in ks if scores.get(f"k{k}") is not None]
     chosen = max(known, key=lambda k: scores[f"k{k}"], default=ks[0])
-    table = spark.createDataFrame(
-        [(k, float(best[k][0]), scores.get(f"k{k}"), k == chosen) for k in ks],
-        "k int, training_cost double, silhouette double, best boolean",
+    table = features.sparkSession.createDataFrame(
+        [(k, *(fits[k][::2] if k in fits else (None, None)), scores.get(f"k{k}"), k == chosen) for k in ks],
+        "k int, training_cost double, settled boolean, silhouette double, best boolean",
     )
     return table, labelled.select(id_col, *cols, F.col(f"k{chosen}").alias("cluster"))
 
 
+def kmeans_check(features: DataFrame, id_col: str, cols: Sequence[str] = FEATURES,
+                 ks: Sequence[int] = (2, 3, 4, 5), restarts: int = 10, seed: int = 42) -> DataFrame:
+    """What must hold for every k, a row each: users labelled, clusters in use, whether the fit
+    settled, clusters whose centre is not the mean of its members, whether the cost is no higher
+    than for fewer clusters, and each feature's mean put together from the clusters."""
+    labelled, fits = kmeans_labels(features, id_col, cols, ks, restarts, seed)
+    rows = []
+    for i, k in enumerate(ks):
+        cost, centres, settled = fits.get(k, (0.0, np.zeros((k, len(cols))), True))
+        falling = i == 0 or cost <= fits.get(ks[i - 1], (0.0,))[0] + 1e-9
+        fitted = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centres])
+        at = F.get(fitted, F.col(f"k{k}"))
+        off = reduce(lambda a, b: a | b, [F.abs(F.col(f"m{j}") - F.col("at")[j]) > 0.01 for j in range(len(cols))])
+        groups = labelled.groupBy(f"k{k}").agg(
+            F.count(F.lit(1)).alias("n"), F.first(at).alias("at"),
+            *[F.avg(f"z_{c}").alias(f"m{j}") for j, c in enumerate(cols)], *[F.avg(c).alias(c) for c in cols])
+        rows.append(groups.agg(
+            F.lit(k).alias("k"), F.coalesce(F.sum("n"), F.lit(0)).alias("users"),
+            F.count(f"k{k}").alias("clusters"), F.lit(settled).alias("settled"),
+            F.count_if(off).alias("displaced_centres"), F.lit(falling).alias("cost_falls"),
+            *[F.round(F.sum(F.col(c) * F.col("n")) / F.sum("n"), 4).alias(c) for c in cols]))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def segment_profile(df: DataFrame, label: str, cols: Sequence[str] = FEATURES) -> DataFrame:
     """Size and mean of every feature per segment."""
     return df.groupBy(label).agg(

@@ -35,13 +35,16 @@ def stg_events(landing: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL, *, strict:
 def dedup_events(stg: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
     """One row per event id, for a landing table loaded twice.
 
-    Rows without an id are kept as they are: they cannot be told apart. The kept copy is
-    the earliest load; copies of one event are cut map-side, before the shuffle.
+    Rows without an id are all kept: each gets a number of its own beside the empty id, so
+    they neither collapse nor meet in one task. The kept copy is the earliest load, ties
+    by the other columns, so differing copies of one load always give the same row. One
+    scan; copies are cut map-side, before the shuffle.
     """
-    first = Window.partitionBy(spec.event_id).orderBy("ingested_at")
-    known = (
-        stg.where(F.col(spec.event_id).isNotNull())
+    nameless = F.when(F.col(spec.event_id).isNull(), F.monotonically_increasing_id())
+    others = [c for c in stg.columns if c not in (spec.event_id, "ingested_at")]
+    first = Window.partitionBy(spec.event_id, "nameless").orderBy("ingested_at", *others)
+    return (
+        stg.withColumn("nameless", nameless)
         .withColumn("copy_no", F.row_number().over(first))
-        .where("copy_no = 1").drop("copy_no")
+        .where("copy_no = 1").drop("copy_no", "nameless")
     )
-    return known.unionByName(stg.where(F.col(spec.event_id).isNull()))

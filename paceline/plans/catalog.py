@@ -293,6 +293,14 @@ def hte_logit(spark, sf_dir):
     return experiment.hte_logit(sessions(spark, sf_dir))
 
 
+@query
+def hte_logit_fit(spark, sf_dir):
+    """At the optimum a term's sessions are expected to convert as often as they did; these
+    equations, one per term, fix the coefficients."""
+    fitted = experiment.hte_logit(sessions(spark, sf_dir))
+    return fitted.select("term", "sessions", "observed", F.round("expected", 4).alias("expected"), "converged")
+
+
 # -- survival --------------------------------------------------------------------------
 
 
@@ -345,6 +353,17 @@ def kmeans_segments(spark, sf_dir):
     return segments.segment_profile(segments.kmeans_sweep(_features(spark, sf_dir), SPEC.user)[1], "cluster")
 
 
+@query
+def kmeans_check(spark, sf_dir):
+    return segments.kmeans_check(_features(spark, sf_dir), SPEC.user)
+
+
+@query
+def silhouette_all(spark, sf_dir):
+    """Every embedding, not a sample."""
+    return segments.silhouette_all(read(spark, sf_dir, "embeddings"), "embedding", ["label"])
+
+
 @query
 def silhouette_sampled(spark, sf_dir):
     return segments.silhouette_sampled(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", ["label"])
@@ -375,6 +394,18 @@ def chapman_files(spark, sf_dir):
     return population.chapman_from_files(spark, landed(spark, sf_dir))
 
 
+@query
+def chapman_folders(spark, sf_dir):
+    """Date folders of the landing as units, at most five to a capture."""
+    return population.chapman_from_folders(spark, landed(spark, sf_dir), 5)
+
+
+@query
+def chapman_customers(spark, sf_dir):
+    """Customers seen on two random sets of 200 order dates."""
+    return population.chapman_estimate(read(spark, sf_dir, "orders"), "o_orderdate", "o_custkey", 200)
+
+
 @query
 def power_plan(spark, sf_dir):
     return population.power_plan(sessions(spark, sf_dir), [SPEC.device, SPEC.channel])

@@ -7,14 +7,16 @@ from pyspark.sql import DataFrame, functions as F
 from paceline.spec import DEFAULT_FUNNEL, FunnelSpec
 
 
-def dedup_stream(stg: DataFrame, *, horizon: str = "7 days", salts: int = 8,
+def dedup_stream(stg: DataFrame, *, horizon: str = "7 days", salts: int = 1,
                  spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
     """One row per event id among copies that land within ``horizon`` of each other.
 
     The watermark follows *arrival* time, so an event that happened long ago is never
-    late, and state is kept only as long as a repeated load is expected. Copies are first
-    cut per (id, salt) and then per id, so an event landed countless times is spread over
-    ``salts`` tasks. Rows without an id are all kept.
+    late, and state is kept only as long as a repeated load is expected: copies landing
+    further apart both stay, unlike in ``dedup_events``. Every id is held in one state
+    store, a row a copy, never gathered. Where single events land countless times, ``salts``
+    above 1 cuts copies per (id, salt) first, over that many tasks and at the price of a
+    second store. Rows without an id are all kept.
     """
     arrived = stg.withColumn("arrived_at", F.col("ingested_at").cast("timestamp"))
     known = arrived.where(F.col(spec.event_id).isNotNull()).withWatermark("arrived_at", horizon)

@@ -54,13 +54,27 @@ def append_table(rows: DataFrame, out: str, checkpoint: str, *, every: str | Non
 
 
 def append_ndjson(body: DataFrame, out: str, checkpoint: str, ts_col: str = "timestamp", *,
-                  every: str | None = "5 seconds") -> StreamingQuery:
-    """Flush events each ``every`` as JSON lines under the folder of their event date."""
-    return _started(with_date_folders(body, ts_col), "json", out, checkpoint, every, DATE_FOLDERS)
+                  every: str | None = "5 seconds", files_per_date: int = 1) -> StreamingQuery:
+    """Flush events each ``every`` as JSON lines under the folder of their event date.
+
+    Each batch gathers a date into ``files_per_date`` files (rows placed by a hash of their
+    contents), so a batch does not leave one file per task and date.
+    """
+    dated = with_date_folders(body, ts_col)
+    part = F.pmod(F.xxhash64(F.to_json(F.struct(*body.columns))), F.lit(files_per_date))
+    gathered = dated.repartition(*DATE_FOLDERS, part) if files_per_date > 1 else dated.repartition(*DATE_FOLDERS)
+    return _started(gathered, "json", out, checkpoint, every, DATE_FOLDERS)
 
 
-def drain(query: StreamingQuery) -> dict[str, int]:
-    """Wait for an available-now query; rows read and batches run."""
-    query.awaitTermination()
-    done = query.recentProgress
-    return {"batches": len(done), "rows": sum(p.numInputRows for p in done)}
+def drain(query: StreamingQuery, poll_seconds: float = 1.0) -> dict[str, int]:
+    """Wait for an available-now query; rows read and batches run.
+
+    A query remembers its last 100 batches only, so progress is gathered while it runs.
+    A batch that fails raises here and is run again from the checkpoint by the next start.
+    """
+    rows: dict[int, int] = {}
+    finished = False
+    while not finished:
+        finished = query.awaitTermination(poll_seconds)
+        rows.update({p.batchId: p.numInputRows for p in query.recentProgress})
+    return {"batches": len(rows), "rows": sum(rows.values())}

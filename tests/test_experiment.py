@@ -145,7 +145,7 @@ def test_interaction_model_splits_into_one_fit_per_arm(spark):
     """Every term is interacted with the arm: arm-wise fits give the same coefficients."""
     got = {r["term"]: r["coef"] for r in rows(catalog.QUERIES["hte_logit"](spark, MEDIUM))}
     assert len(got) == 12
-    sessions = catalog.sessions(spark, MEDIUM)
+    sessions = catalog.sessions(spark, MEDIUM).dropna(subset=["device"])  # the model leaves NULL levels out
     fits = {}
     for arm in ("control", "new_checkout_ui"):
         cells = [r.asDict() for r in sessions.where(F.col("variant") == arm).groupBy("device", "acquisition_channel")

@@ -105,6 +105,13 @@ def test_dedup_keeps_one_copy_and_all_rows_without_id(spark, made):
     assert sorted(str(r["event_id"]) for r in rows(dedup_events(made.df(spark)))) == ["None", "None", "a", "b"]
 
 
+def test_differing_copies_of_one_load_always_give_the_same_row(spark, made):
+    for device in ("tablet", "mobile", "desktop"):
+        made.add("s1", "view_homepage", 0, event_id="a", device=device)
+    stg = made.df(spark)
+    assert {rows(dedup_events(stg.repartition(n)))[0]["device"] for n in (1, 2, 5)} == {"desktop"}
+
+
 def test_scratch_uses_the_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_dir(spark, "x").startswith(shared_dir(spark)) and new_dir(spark, "x") != new_dir(spark, "x")

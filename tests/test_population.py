@@ -51,6 +51,18 @@ def test_estimate_over_landed_files(spark, made, tmp_path):
     assert (few["n1"], few["n2"]) == (5, 5)
 
 
+def test_estimate_over_date_folders_equals_the_one_over_dates(spark, made, tmp_path):
+    for i in range(60):
+        made.add(f"s{i}", "view_homepage", 86_400 * (i % 12), user_id=f"u{i % 30}")
+    stg = made.df(spark)
+    out = str(tmp_path / "landing")
+    land.write_ndjson(land.payload(stg), out)
+    dates = stg.selectExpr("date_format(event_timestamp, \"'year='yyyy'/month='MM'/day='dd\") AS day", "user_id")
+    for cap in (2, 100):
+        got, expected = pop.chapman_from_folders(spark, out, cap), pop.chapman_estimate(dates, "day", "user_id", cap)
+        assert str(rows(got)) == str(rows(expected))  # NaN without overlap
+
+
 def test_power_reach_and_sessions_per_user(spark, made):
     funnel_events(made, [6, 5, 5, 5, 4, 2, 1])
     funnel_events(made, [1], user_id="u2")

@@ -61,14 +61,31 @@ def test_sample_is_repeatable_and_bounded(spark):
     assert a == b and len(set(a)) == 50
 
 
-def test_cutting_by_hash_first_gives_the_same_sample(spark):
-    df = spark.range(20_000)
-    plain = [r["id"] for r in segments.hash_sample(df, "id", 500).collect()]
-    assert segments._sample_rows(df, "id", 500, 20_000)["id"].tolist() == plain
-    assert df.count() > segments.hash_sample(df, "id", 20_000, 0.05).count() > 500
-    # Too few rows left by the cut: the plain sample is used.
-    sparse = df.where("id % 400 = 0")
-    assert len(segments._sample_rows(sparse, "id", 500, 20_000)) == 50
+def test_silhouette_of_nothing(spark):
+    none = spark.createDataFrame([], "id long, v array<double>, k int")
+    assert rows(segments.silhouette_sampled(none, "id", "v", ["k"])) == []
+    assert rows(segments.silhouette_all(none, "v", ["k"])) == [{"labelling": "k", "silhouette": None}]
+
+
+def test_fits_settle_on_the_means_of_their_members(spark):
+    rng = np.random.default_rng(5)
+    data = [(f"u{i}", *map(float, rng.normal(size=2))) for i in range(300)]
+    df = spark.createDataFrame(data, "user_id string, a double, b double")
+    got = rows(segments.kmeans_check(df, "user_id", ["a", "b"], ks=(2, 3), restarts=3), "k")
+    assert [(r["users"], r["clusters"], r["settled"], r["displaced_centres"], r["cost_falls"]) for r in got] == [
+        (300, 2, True, 0, True), (300, 3, True, 0, True)]
+    labelled, fits = segments.kmeans_labels(df, "user_id", ["a", "b"], ks=(3,), restarts=2)
+    for r in labelled.collect():
+        gaps = ((np.array(r["vector"]) - fits[3][1]) ** 2).sum(axis=1)
+        assert gaps[r["k3"]] == pytest.approx(gaps.min())
+
+
+def test_sweep_over_no_users_and_more_clusters_than_users(spark):
+    none = spark.createDataFrame([], "user_id string, a double")
+    scores, labelled = segments.kmeans_sweep(none, "user_id", ["a"], ks=(2, 3), restarts=2)
+    assert [r["training_cost"] for r in rows(scores, "k")] == [None, None] and labelled.count() == 0
+    two = spark.createDataFrame([("u1", 1.0), ("u2", 5.0)], "user_id string, a double")
+    assert segments.kmeans_sweep(two, "user_id", ["a"], ks=(3,), restarts=2)[1].count() == 2
 
 
 def test_sweep_labels_every_user_and_finds_planted_groups(spark):

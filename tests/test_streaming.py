@@ -47,8 +47,40 @@ def test_session_stream_equals_batch(spark, tmp_path):
     assert ran["batches"] > 1
     expected = ses.session_facts(stg)
     assert same(ssessions.streamed_sessions(spark, out), expected)
-    ssessions.compact_partials(spark, out, str(tmp_path / "compact"))
-    assert same(ssessions.streamed_sessions(spark, str(tmp_path / "compact")), expected)
+    ssessions.compact_partials(spark, out, ran["batches"] - 1)
+    assert same(ssessions.streamed_sessions(spark, out), expected)
+
+
+def test_compaction_between_two_batches_of_a_live_stream(spark, tmp_path):
+    stg = funnel_events(typed_events(spark)).drop("ingested_at")
+    halves = [stg.where(f"int(event_id) % 2 = {i}") for i in (0, 1)]
+    path = landed(spark, tmp_path, halves[0])
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    rows = stg_events(ingest.stream_landing(ingest.stream_files(spark, path)))
+    query = ssessions.stream_session_partials(rows, out, state, every="1 second")
+    try:
+        query.processAllAvailable()
+        ssessions.compact_partials(spark, out, query.lastProgress.batchId)
+        ssessions.compact_partials(spark, out, 0)  # nothing new to fold
+        assert same(ssessions.streamed_sessions(spark, out), ses.session_facts(halves[0]))
+        land.write_ndjson(land.payload(halves[1]), path, mode="append")
+        query.processAllAvailable()
+        assert same(ssessions.streamed_sessions(spark, out), ses.session_facts(stg))
+    finally:
+        query.stop()
+
+
+def test_more_batches_than_a_query_remembers_are_counted(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "20")
+    try:
+        (tmp_path / "in").mkdir()
+        for i in range(50):
+            (tmp_path / "in" / f"{i:02}.json").write_text(f'{{"event_id": "e{i}"}}')
+        rows = ingest.stream_landing(ingest.stream_files(spark, str(tmp_path / "in"), max_files=1))
+        query = ingest.append_table(rows, str(tmp_path / "out"), str(tmp_path / "state"), every=None)
+        assert ingest.drain(query, poll_seconds=0.2) == {"batches": 50, "rows": 50}
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
 
 
 def test_copies_are_dropped_across_batches_and_rows_without_id_kept(spark, tmp_path, made):
