@@ -14,6 +14,7 @@ equal results; the score is 1 minus the product of the accepted detections' doub
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -178,11 +179,26 @@ class Scan:
 
 
 def accepted(found: list[tuple[int, int, int, str, float]]) -> list[tuple[int, int, int, str, float]]:
-    """Of (priority, start, end, label, sure): those not within one of earlier order."""
+    """Of (priority, start, end, label, sure): those not within one of earlier order.
+
+    ``reach[i]`` is a Fenwick tree over the starts that holds the furthest end accepted so far,
+    so a text with many detections costs n log n.
+    """
+    starts = sorted({d[1] for d in found})
+    reach = [0] * (len(starts) + 1)
     kept: list[tuple[int, int, int, str, float]] = []
     for d in sorted(found, key=lambda d: (d[0], d[1] - d[2], d[1], d[3])):
-        if not any(k[1] <= d[1] and d[2] <= k[2] for k in kept):
-            kept.append(d)
+        place = bisect_left(starts, d[1]) + 1
+        furthest, i = 0, place
+        while i:
+            furthest = max(furthest, reach[i])
+            i -= i & -i
+        if d[2] <= furthest:
+            continue
+        kept.append(d)
+        while place < len(reach):
+            reach[place] = max(reach[place], d[2])
+            place += place & -place
     return kept
 
 
@@ -206,7 +222,10 @@ def scan_line(line: bytes) -> Scan:
     for d in kept:
         doubt *= 1 - d[4]
     out.score = 1 - doubt
-    out.spans = tuple((line.count(b" ", 0, d[1]) - 1, line.count(b" ", 0, d[2]), d[3]) for d in kept)
+    if kept:
+        blanks = np.flatnonzero(np.frombuffer(line, dtype=np.uint8) == 0x20)
+        begin, end = (np.searchsorted(blanks, [d[i] for d in kept]).tolist() for i in (1, 2))
+        out.spans = tuple((b - 1, e, d[3]) for b, e, d in zip(begin, end, kept))
     return out
 
 

@@ -104,6 +104,29 @@ def test_license_rules():
     assert scan("mit dem Hund im Park").labels == "" and scan("").score == 0
 
 
+def test_suppression_equals_comparing_all_pairs():
+    rng = random.Random(3)
+    for _ in range(500):
+        found = []
+        for _ in range(rng.randrange(25)):
+            start = rng.randrange(20)
+            found.append((rng.randrange(4), start, start + rng.randrange(1, 10), rng.choice("ab"), 0.5))
+        kept = []
+        for d in sorted(found, key=lambda d: (d[0], d[1] - d[2], d[1], d[3])):
+            if not any(k[1] <= d[1] and d[2] <= k[2] for k in kept):
+                kept.append(d)
+        assert licenses.accepted(found) == kept
+
+
+def test_spans_count_words():
+    line = b" " + b" ".join([b"see", *b"released under the mit license and gpl version 2".split()] * 3) + b" "
+    words_in = line.split()
+    scan = licenses.scan_line(line)
+    assert len(scan.spans) == 6
+    for start, end, label in scan.spans:
+        assert label.split("-")[0].encode() in words_in[start:end]
+
+
 def test_license_table(spark):
     texts = [*AWKWARD, "Under the MIT license; under the mit-license", "Apache License, Version 2.0 cc by nc"]
     out = {r["doc_id"]: r for r in licenses.scan_documents(docs_of(spark, texts), ["doc_id"]).collect()}
