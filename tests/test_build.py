@@ -11,12 +11,13 @@ from paceline.sources import landing as land
 
 @pytest.fixture(scope="module")
 def staged(spark):
-    """Events made to pass the data tests: each step of a session at most once and in order."""
+    """Events made to pass the data tests: each step of a session at most once and in order,
+    and no device missing."""
     stg = catalog.events(spark, SMALL)
     first = Window.partitionBy("session_id").orderBy("event_timestamp", "event_id")
     return (stg.withColumn("place", F.row_number().over(first)).where("place <= 6")
             .withColumn("event_type", F.element_at(F.array(*[F.lit(x.event) for x in catalog.SPEC.steps]), F.col("place")))
-            .drop("place"))
+            .withColumn("device", F.coalesce("device", F.lit("mobile"))).drop("place"))
 
 
 def test_whole_job_from_files_to_readout(spark, staged, tmp_path):
