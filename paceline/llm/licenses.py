@@ -2,10 +2,11 @@
 
 A text is reduced to lower-cased words joined by single spaces. Rules are regular expressions
 over that line, made from license families, their versions and the ways licenses are granted or
-named; each is tried only if its keyword occurs in the text, and texts without any keyword are
-not scanned at all. Detections are taken in order of priority, then length; one that lies
-within an accepted detection is suppressed, so "gpl" inside "lgpl 2.1" or an unversioned name
-inside a versioned one does not count. Base phrases are found word by word and always stay.
+named; each is tried only if the line holds one of its literals, of which every match has one (a
+family's rules: its name words), and lines without any literal have no match. Detections are
+taken in order of priority, then length; one that lies within an accepted detection is
+suppressed, so "gpl" inside "lgpl 2.1" or an unversioned name inside a versioned one does not
+count. Base phrases are found word by word and always stay.
 
 Defined results: null and empty texts have no words, no labels and score 0; repeated rows get
 equal results; the score is 1 minus the product of the accepted detections' doubts.
@@ -36,38 +37,38 @@ BASE_PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: Label, the words that name the license, its versions, a keyword of the name.
-FAMILIES: tuple[tuple[str, str, tuple[str, ...], str], ...] = (
-    ("agpl", "gnu affero general public|gnu agpl|agpl|affero general public", ("1", "3"), "a"),
-    ("lgpl", "gnu lesser general public|gnu library general public|lesser general public|gnu lgpl|lgpl", ("2", "2 1", "3"), "l"),
-    ("gpl", "gnu general public|gnu gpl|gpl", ("1", "2", "3"), "g"),
-    ("gfdl", "gnu free documentation|gfdl", ("1 1", "1 2", "1 3"), "f"),
-    ("apache", "apache software|apache", ("1", "1 1", "2"), "apache"),
-    ("mit", "mit x11|mit expat|mit", (), "mit"),
-    ("bsd", "bsd", ("1 clause", "2 clause", "3 clause", "4 clause"), "bsd"),
-    ("mpl", "mozilla public|mpl", ("1", "1 1", "2"), "m"),
-    ("epl", "eclipse public|epl", ("1", "2"), "e"),
-    ("cddl", "common development and distribution|cddl", ("1", "1 1"), "c"),
-    ("cpl", "common public|cpl", ("1",), "c"),
-    ("eupl", "european union public|eupl", ("1", "1 1", "1 2"), "eu"),
-    ("afl", "academic free|afl", ("1 1", "2", "2 1", "3"), "a"),
-    ("osl", "open software|osl", ("1", "2", "2 1", "3"), "o"),
-    ("artistic", "artistic", ("1", "2"), "artistic"),
-    ("ofl", "sil open font|open font|ofl", ("1", "1 1"), "o"),
-    ("odbl", "open database|odbl", ("1",), "od"),
-    ("bsl", "boost software|boost", ("1",), "boost"),
-    ("ms-pl", "microsoft public|ms pl", (), "m"),
-    ("ms-rl", "microsoft reciprocal|ms rl", (), "m"),
-    ("python", "python software foundation|psf|python", ("2",), "p"),
-    ("zlib", "zlib libpng|zlib", (), "zlib"),
-    ("isc", "isc", (), "isc"),
-    ("upl", "universal permissive|upl", ("1",), "u"),
-    ("ncsa", "university of illinois ncsa|ncsa", (), "ncsa"),
-    ("postgresql", "postgresql", (), "postgresql"),
-    ("openssl", "openssl", (), "openssl"),
-    ("wtfpl", "do what the fuck you want to public|wtfpl", ("1", "2"), "w"),
-    ("cecill", "cecill", ("1", "2", "2 1"), "cecill"),
-    ("qpl", "q public|qpl", ("1",), "q"),
+#: Label, the words that name the license, its versions.
+FAMILIES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
+    ("agpl", "gnu affero general public|gnu agpl|agpl|affero general public", ("1", "3")),
+    ("lgpl", "gnu lesser general public|gnu library general public|lesser general public|gnu lgpl|lgpl", ("2", "2 1", "3")),
+    ("gpl", "gnu general public|gnu gpl|gpl", ("1", "2", "3")),
+    ("gfdl", "gnu free documentation|gfdl", ("1 1", "1 2", "1 3")),
+    ("apache", "apache software|apache", ("1", "1 1", "2")),
+    ("mit", "mit x11|mit expat|mit", ()),
+    ("bsd", "bsd", ("1 clause", "2 clause", "3 clause", "4 clause")),
+    ("mpl", "mozilla public|mpl", ("1", "1 1", "2")),
+    ("epl", "eclipse public|epl", ("1", "2")),
+    ("cddl", "common development and distribution|cddl", ("1", "1 1")),
+    ("cpl", "common public|cpl", ("1",)),
+    ("eupl", "european union public|eupl", ("1", "1 1", "1 2")),
+    ("afl", "academic free|afl", ("1 1", "2", "2 1", "3")),
+    ("osl", "open software|osl", ("1", "2", "2 1", "3")),
+    ("artistic", "artistic", ("1", "2")),
+    ("ofl", "sil open font|open font|ofl", ("1", "1 1")),
+    ("odbl", "open database|odbl", ("1",)),
+    ("bsl", "boost software|boost", ("1",)),
+    ("ms-pl", "microsoft public|ms pl", ()),
+    ("ms-rl", "microsoft reciprocal|ms rl", ()),
+    ("python", "python software foundation|psf|python", ("2",)),
+    ("zlib", "zlib libpng|zlib", ()),
+    ("isc", "isc", ()),
+    ("upl", "universal permissive|upl", ("1",)),
+    ("ncsa", "university of illinois ncsa|ncsa", ()),
+    ("postgresql", "postgresql", ()),
+    ("openssl", "openssl", ()),
+    ("wtfpl", "do what the fuck you want to public|wtfpl", ("1", "2")),
+    ("cecill", "cecill", ("1", "2", "2 1")),
+    ("qpl", "q public|qpl", ("1",)),
 )
 #: The parts of Creative Commons licenses and their spoken names.
 CC_PARTS = {"by": "attribution", "nc": "non ?commercial", "nd": "no ?deriv(?:ative)?s?(?: works)?", "sa": "share ?alike"}
@@ -79,17 +80,21 @@ _GRANT = (r"(?:licen[sc]ed|released|distributed|published|provided|available|cov
 
 @dataclass(frozen=True)
 class Rule:
-    """``priority``: smaller wins. ``sure``: how much a detection alone tells, 0 to 1."""
+    """``priority``: smaller wins. ``sure``: how much a detection alone tells, 0 to 1.
+
+    ``literals``: every match lies in a line that has one of them.
+    """
 
     label: str
     priority: int
-    keyword: bytes
+    literals: tuple[bytes, ...]
     pattern: re.Pattern
     sure: float
 
 
-def _rule(label: str, priority: int, keyword: str, pattern: str, sure: float) -> Rule:
-    return Rule(label, priority, keyword.encode(), re.compile(rf"(?<= )(?:{pattern})(?= )".encode()), sure)
+def _rule(label: str, priority: int, literals: str, pattern: str, sure: float) -> Rule:
+    """``literals``: whole words or phrases of the pattern, one of which is in every match."""
+    return Rule(label, priority, tuple(f" {w} ".encode() for w in literals.split("|")), re.compile(rf"(?<= )(?:{pattern})(?= )".encode()), sure)
 
 
 def _versioned(version: str) -> str:
@@ -101,7 +106,7 @@ def _versioned(version: str) -> str:
 def signature_rules() -> tuple[Rule, ...]:
     """All rules in order. From specific to vague: identifiers, grants, names, and text parts."""
     rules = []
-    for label, names, versions, keyword in FAMILIES:
+    for label, names, versions in FAMILIES:
         named = rf"(?:{names})"
         for version in versions:
             full = f"{label}-{version.replace(' clause', '-clause').replace(' ', '.')}"
@@ -110,15 +115,15 @@ def signature_rules() -> tuple[Rule, ...]:
                     rf"{named}(?: licen[sc]e)?(?: agreement)? {which}|{which} of the {named} licen[sc]e")
             rules += [
                 _rule(full, 10, "spdx", rf"spdx licen[sc]e identifier {label.replace('-', ' ')} {which}", 0.99),
-                _rule(full, 20, keyword, rf"{_GRANT}(?:{said})(?: licen[sc]e)?", 0.97),
-                _rule(full, 40, keyword, said, 0.85),
-                _rule(full, 30, "licenses", rf"(?:org|www|com) licen[sc]es (?:old licenses )?{label.replace('-', ' ')} {which}", 0.95),
+                _rule(full, 20, names, rf"{_GRANT}(?:{said})(?: licen[sc]e)?", 0.97),
+                _rule(full, 40, names, said, 0.85),
+                _rule(full, 30, "licenses|licences", rf"(?:org|www|com) licen[sc]es (?:old licenses )?{label.replace('-', ' ')} {which}", 0.95),
             ]
         rules += [
             _rule(label, 12, "spdx", rf"spdx licen[sc]e identifier {label.replace('-', ' ')}", 0.98),
-            _rule(label, 25, keyword, rf"{_GRANT}{named}(?: style)? licen[sc]e", 0.93),
-            _rule(label, 35, "licenses", rf"(?:org|www|com) licen[sc]es {label.replace('-', ' ')}", 0.9),
-            _rule(label, 50, keyword, rf"{named}(?: style)? licen[sc]e", 0.75),
+            _rule(label, 25, names, rf"{_GRANT}{named}(?: style)? licen[sc]e", 0.93),
+            _rule(label, 35, "licenses|licences", rf"(?:org|www|com) licen[sc]es {label.replace('-', ' ')}", 0.9),
+            _rule(label, 50, names, rf"{named}(?: style)? licen[sc]e", 0.75),
         ]
     for kind in CC_KINDS:
         parts = kind.split()
@@ -129,32 +134,33 @@ def signature_rules() -> tuple[Rule, ...]:
             plain = "" if version else r"(?! (?:by|nc|nd|sa)(?: |$))"
             step = 0 if version else 5
             rules += [
-                _rule(label, 21 + step, "cc", rf"{_GRANT}(?:a )?cc {kind}{plain}{tail}", 0.97),
-                _rule(label, 41 + step, "cc", rf"cc {kind}{plain}{tail}", 0.85),
-                _rule(label, 22 + step, "creative", rf"creative commons {spoken}(?: \d(?: \d)?)?{tail if version else ''}(?: (?:public )?licen[sc]e)?", 0.95),
-                _rule(label, 31 + step, "creativecommons", rf"creativecommons org licen[sc]es {kind}{plain}{tail}", 0.97),
+                _rule(label, 21 + step, "cc by", rf"{_GRANT}(?:a )?cc {kind}{plain}{tail}", 0.97),
+                _rule(label, 41 + step, "cc by", rf"cc {kind}{plain}{tail}", 0.85),
+                _rule(label, 22 + step, "creative commons attribution", rf"creative commons {spoken}(?: \d(?: \d)?)?{tail if version else ''}(?: (?:public )?licen[sc]e)?", 0.95),
+                _rule(label, 31 + step, "creativecommons org", rf"creativecommons org licen[sc]es {kind}{plain}{tail}", 0.97),
             ]
     rules += [
         _rule("cc0", 22, "cc0", r"cc0(?: 1 0)?(?: universal)?", 0.95),
-        _rule("cc0", 31, "publicdomain", r"creativecommons org publicdomain zero", 0.97),
-        _rule("public-domain", 45, "public domain", rf"(?:released|placed|dedicated) (?:in|into|to) the public domain", 0.9),
-        _rule("unlicense", 22, "unlicense", r"the unlicense|unlicense org", 0.9),
-        _rule("mit", 60, "permission", r"permission is hereby granted free of charge to any person obtaining a copy", 0.95),
-        _rule("isc", 60, "permission", r"permission to use copy modify and or distribute this software for any purpose", 0.9),
-        _rule("bsd", 60, "redistribution", r"redistribution and use in source and binary forms with or without modification", 0.9),
-        _rule("zlib", 60, "altered", r"altered source versions must be plainly marked as such", 0.85),
-        _rule("proprietary", 70, "rights", r"all rights reserved", 0.4),
-        _rule("proprietary", 65, "confidential", r"proprietary and confidential", 0.6),
-        _rule("unknown", 90, "under", rf"{_GRANT}(?:\S+ ){{0,4}}?licen[sc]e", 0.3),
+        _rule("cc0", 31, "creativecommons org publicdomain zero", r"creativecommons org publicdomain zero", 0.97),
+        _rule("public-domain", 45, "the public domain", rf"(?:released|placed|dedicated) (?:in|into|to) the public domain", 0.9),
+        _rule("unlicense", 22, "the unlicense|unlicense org", r"the unlicense|unlicense org", 0.9),
+        _rule("mit", 60, "permission is hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy", 0.95),
+        _rule("isc", 60, "permission to use copy", r"permission to use copy modify and or distribute this software for any purpose", 0.9),
+        _rule("bsd", 60, "redistribution and use", r"redistribution and use in source and binary forms with or without modification", 0.9),
+        _rule("zlib", 60, "altered source versions", r"altered source versions must be plainly marked as such", 0.85),
+        _rule("proprietary", 70, "all rights reserved", r"all rights reserved", 0.4),
+        _rule("proprietary", 65, "proprietary and confidential", r"proprietary and confidential", 0.6),
+        _rule("unknown", 90, "license|licence", rf"{_GRANT}(?:\S+ ){{0,4}}?licen[sc]e", 0.3),
     ]
     return tuple(sorted(rules, key=lambda r: r.priority))
 
 
 RULES = signature_rules()
-#: A text without any of these can hold neither a base phrase nor a match of a rule.
-GATES = (b"licen", b"gpl", b"spdx", b"cc", b"creative", b"public", b"domain", b"rights reserved", b"permission", b"redistribution",
-         b"altered", b"proprietary", b"clause")
-_LOWER = bytes(common.byte_table())
+#: For each literal the places in RULES of the rules to try where it occurs.
+LITERALS: dict[bytes, list[int]] = {}
+for _place, _of in enumerate(RULES):
+    for _literal in _of.literals:
+        LITERALS.setdefault(_literal, []).append(_place)
 _BASE = [(f" {p} ".encode(), label) for p, label in BASE_PHRASES.items()]
 
 
@@ -167,6 +173,11 @@ def places(line: bytes, phrase: bytes) -> list[int]:
     return out
 
 
+def rules_for(line: bytes) -> list[Rule]:
+    """The rules that may match the line, in order."""
+    return [RULES[k] for k in sorted({k for literal, at in LITERALS.items() if literal in line for k in at})]
+
+
 @dataclass
 class Scan:
     n_base: int = 0
@@ -211,7 +222,7 @@ def scan_line(line: bytes) -> Scan:
         if at:
             base.add(label)
     found = [(r.priority, m.start(), m.end(), r.label, r.sure)
-             for r in RULES if r.keyword in line for m in r.pattern.finditer(line)]
+             for r in rules_for(line) for m in r.pattern.finditer(line)]
     kept = accepted(found)
     out = Scan(len(starts), base_labels=",".join(sorted(base)),
                labels=",".join(sorted(base | {d[3] for d in kept})))
@@ -241,11 +252,7 @@ def scan_documents(docs: DataFrame, keep: list[Column | str]) -> DataFrame:
             for _, _, data, starts in common.chunks(texts):
                 begin, _ = common.word_spans(_TABLE[data])
                 n_words.append(np.diff(np.searchsorted(begin, starts)))
-            results = []
-            for text in texts:
-                lowered = text.translate(_LOWER)
-                gated = any(g in lowered for g in GATES)
-                results.append(scan_line(b" %s " % b" ".join(text.translate(_SPACED).split())) if gated else Scan())
+            results = [scan_line(b" %s " % b" ".join(text.translate(_SPACED).split())) for text in texts]
             column = lambda name, kind: pa.array([getattr(r, name) for r in results], kind)
             spans = pa.array([[f"{s}:{e}:{label}" for s, e, label in r.spans] for r in results], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays(

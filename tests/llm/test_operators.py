@@ -137,6 +137,53 @@ def test_license_table(spark):
     assert out[11]["base_labels"] == "apache-2,cc-by-nc" and out[0]["first_word"] is None
 
 
+def samples(tree):
+    """Texts of a parsed pattern: each alternative once, optional parts left out and put in."""
+    from re import _constants as c
+    out = [""]
+    for op, value in tree:
+        if op is c.LITERAL:
+            parts = [chr(value)]
+        elif op is c.IN:
+            parts = ["s"] if value[0][0] is c.LITERAL else ["x" if value[0][1] is c.CATEGORY_NOT_SPACE else "7"]
+            parts = [chr(v[1]) for v in value if v[0] is c.LITERAL] or parts
+        elif op is c.SUBPATTERN:
+            parts = samples(value[3])
+        elif op is c.BRANCH:
+            parts = [s for branch in value[1] for s in samples(branch)]
+        elif op in (c.MAX_REPEAT, c.MIN_REPEAT):
+            inner = samples(value[2])
+            parts = ([""] if value[0] == 0 else []) + inner
+        elif op in (c.ASSERT, c.ASSERT_NOT):
+            continue
+        else:
+            raise AssertionError(op)
+        # Not all combinations: each part of the longer list meets a part of the shorter.
+        n = max(len(out), len(parts))
+        out = [out[k % len(out)] + parts[k % len(parts)] for k in range(n)]
+    return out
+
+
+def test_no_rule_is_lost_before_it_is_tried(spark, monkeypatch):
+    from re import _parser
+    lines = []
+    for rule in licenses.RULES:
+        found = [s for s in samples(_parser.parse(rule.pattern.pattern.decode())) if rule.pattern.search(f" {s} ".encode())]
+        assert found, rule
+        for s in found:
+            assert any(w in f" {s} ".encode() for w in rule.literals), (rule, s)
+        lines += found
+    lines = sorted(set(lines))
+    said = ["Released under Apache 2.0.", "Distributed under MPL 2.0", "EUPL 1.2", "Boost 1.0", "Artistic 2.0", "Open Database License 1.0",
+            "opensource.org/licences/mit"]
+    out = licenses.scan_documents(docs_of(spark, [*said, *lines]), ["doc_id"]).orderBy("doc_id").collect()
+    assert [r["labels"] for r in out[:7]] == ["apache-2", "mpl-2", "eupl-1.2", "bsl-1", "artistic-2", "odbl-1", "mit"]
+    monkeypatch.setattr(licenses, "rules_for", lambda line: licenses.RULES)
+    for r, s in zip(out[len(said):], lines):
+        scan = licenses.scan_line(f" {s} ".encode())
+        assert (r["labels"], r["score"], len(r["spans"])) == (scan.labels, scan.score, len(scan.spans)) and r["labels"], s
+
+
 # -- embeddings ----------------------------------------------------------------------------
 
 
