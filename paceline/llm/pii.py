@@ -8,13 +8,16 @@ documents, different values different ones, and separators stay in place. The ke
 reverse it; without the key the original cannot be read off.
 
 Defined results: null texts stay null and empty ones empty, both with no finding; values that
-do not validate are left alone; of overlapping candidates the one that starts first, then the
+do not validate are left alone; a slash date is read as day/month/year, or as month/day/year where
+only that is a date; where a run of digit groups is no card number, its parts between group
+boundaries are tried, as are those of an account number; of overlapping candidates the one that starts first, then the
 kind listed first, is replaced; repeated rows get the same text. Other columns pass unchanged.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from datetime import date
 from hashlib import blake2b
@@ -158,19 +161,30 @@ def ipv4(text: str, key: bytes) -> str | None:
 
 
 _FIRST, _LAST = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
+#: Days 1 to 12 of a month and later days are permuted apart, so that a pseudonym is read in the
+#: same order as its original: 12/31/2024 must not become 03/05/1999, another date's pseudonym.
+_DAYS: dict[bool, list[int]] = {False: [], True: []}
+for _day in range(_FIRST, _LAST + 1):
+    _DAYS[date.fromordinal(_day).day > 12].append(_day)
 
 
-def _dated(order: str):
-    def replace(text: str, key: bytes) -> str | None:
-        sep = re.search(r"\D", text).group()
-        parts = dict(zip(order, map(int, text.split(sep))))
+def _dated(*orders: str):
+    def read(order: str, numbers: list[int]) -> date | None:
+        parts = dict(zip(order, numbers))
         try:
-            day = date(parts["y"], parts["m"], parts["d"]).toordinal()
+            return date(parts["y"], parts["m"], parts["d"])
         except ValueError:
             return None
-        if not _FIRST <= day <= _LAST:
+
+    def replace(text: str, key: bytes) -> str | None:
+        sep = re.search(r"\D", text).group()
+        numbers = [int(n) for n in text.split(sep)]
+        order, day = next(((o, d) for o in orders if (d := read(o, numbers))), (None, None))
+        if day is None or not _FIRST <= day.toordinal() <= _LAST:
             return None
-        new = date.fromordinal(permute(day - _FIRST, _LAST - _FIRST + 1, key, b"date") + _FIRST)
+        days = _DAYS[day.day > 12]
+        at = permute(bisect_left(days, day.toordinal()), len(days), key, b"date")
+        new = date.fromordinal(days[at])
         shown = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
         return sep.join(shown[c] for c in order)
     return replace
@@ -186,23 +200,87 @@ KINDS: tuple[tuple[str, str, Callable[[str, bytes], str | None]], ...] = (
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", iban),
     ("date", r"(?<![\d.-])\d{4}-\d{2}-\d{2}(?![\d-])", _dated("ymd")),
     ("date", r"(?<![\d.])\d{2}\.\d{2}\.\d{4}(?!\.?\d)", _dated("dmy")),
-    ("date", r"(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])", _dated("dmy")),
+    ("date", r"(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])", _dated("dmy", "mdy")),
     ("ipv4", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", ipv4),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", ssn),
-    ("card", r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)", card),
+    ("card", r"(?<!\d)\d(?:[ -]?\d){12,}", card),
     ("phone", r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)", phone),
     ("phone", r"(?<![\d+(])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)", phone),
 )
 KIND_NAMES = tuple(dict.fromkeys(name for name, _, _ in KINDS))
 _PATTERNS = [re.compile(p) for _, p, _ in KINDS]
+_IBAN = dict(zip(KIND_NAMES, _PATTERNS))["iban"]
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?=[ A-Z0-9])")
+_IBAN_END = re.compile(r"(?<=[A-Z0-9])(?![A-Za-z0-9])")
+_IBAN_LONGEST = 34 + 8  # with blanks
+#: Account number lengths by country; others are found too, after these.
+_IBAN_LENGTHS = {c: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB PL", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC",
+    32: "LC"}.items() for c in countries.split()}
 _LEAD = re.compile(r"[0-9@]")
+#: Groups in which card numbers are printed.
+_CARD_GROUPS = {(4, 4, 4, 4), (4, 4, 4, 4, 3), (4, 6, 5), (4, 6, 4), (4, 3, 3, 3)}
+
+
+def ibans(text: str, key: bytes) -> list[tuple[int, int, str]]:
+    """(start, end, pseudonym): numbers of their country's length first, then the longest."""
+    spans = []
+    for m in _IBAN_START.finditer(text):
+        start = m.start()
+        for e in _IBAN_END.finditer(text, start + 15, start + _IBAN_LONGEST + 1):
+            if _IBAN.fullmatch(text, start, e.start()):
+                n = len(text[start:e.start()].replace(" ", ""))
+                spans.append((_IBAN_LENGTHS.get(text[start:start + 2]) != n, -n, start, e.start()))
+    out: list[tuple[int, int, str]] = []
+    for *_, start, end in sorted(spans):
+        new = None if any(a < end and start < b for a, b, _ in out) else iban(text[start:end], key)
+        if new is not None:
+            out.append((start, end, new))
+    return out
+
+
+def cards(text: str, start: int, end: int, taken: list[tuple[int, int]], key: bytes) -> Iterator[tuple[int, int, str]]:
+    """(start, end, pseudonym) of the card numbers in a run of digit groups, outside ``taken``.
+
+    All stretches of groups between what is taken are tried: whole ones first, then groups as
+    card numbers are printed, then the longest.
+    """
+    stretches: list[list[tuple[int, int]]] = [[]]
+    for m in re.finditer(r"\d+", text[start:end]):
+        group = (start + m.start(), start + m.end())
+        if any(a < group[1] and group[0] < b for a, b in taken):
+            stretches.append([])
+        else:
+            stretches[-1].append(group)
+    for groups in stretches:
+        sizes = [b - a for a, b in groups]
+        spans = []
+        for i in range(len(groups)):
+            n = 0
+            for j in range(i, len(groups)):
+                n += sizes[j]
+                if n > 19:
+                    break
+                if n >= 13:
+                    whole, printed = j - i + 1 == len(groups), i == j or tuple(sizes[i:j + 1]) in _CARD_GROUPS
+                    spans.append((not whole, not printed, -n, i, j + 1))
+        free = [True] * len(groups)
+        for *_, i, j in sorted(spans):
+            if all(free[i:j]):
+                at, to = groups[i][0], groups[j - 1][1]
+                new = card(text[at:to], key)
+                if new is not None:
+                    free[i:j] = [False] * (j - i)
+                    yield at, to, new
 
 
 def pseudonymise(text: str, key: bytes) -> tuple[str, dict[str, int]]:
     """The text with pseudonyms, and the number of findings of each kind.
 
-    A run of digits that fails as one kind is still tried as another; a card candidate that
-    spans several numbers is tried number by number.
+    A run of digits that fails as one kind is still tried as another; where the pattern of a card
+    or account number reaches over its neighbours, the parts are tried.
     """
     if not _LEAD.search(text):
         return text, {}
@@ -210,15 +288,14 @@ def pseudonymise(text: str, key: bytes) -> tuple[str, dict[str, int]]:
     for rank, ((name, _, replace), pattern) in enumerate(zip(KINDS, _PATTERNS)):
         if name == "email" and "@" not in text:
             continue
-        for m in pattern.finditer(text):
-            spans = [m.span()]
-            if name == "card" and replace(m.group(), key) is None:
-                spans = [(m.start() + n.start(), m.start() + n.end())
-                         for n in re.finditer(r"\d{13,19}", m.group())]
-            for start, end in spans:
-                new = replace(text[start:end], key)
-                if new is not None:
-                    found.append((start, rank, end, name, new))
+        if name == "iban":
+            spans = ibans(text, key)
+        elif name == "card":
+            runs, taken = [m.span() for m in pattern.finditer(text)], [f[0:3:2] for f in found]
+            spans = [span for run in runs for span in cards(text, *run, [t for t in taken if t[0] < run[1] and run[0] < t[1]], key)]
+        else:
+            spans = [(*m.span(), replace(m.group(), key)) for m in pattern.finditer(text)]
+        found += [(start, rank, end, name, new) for start, end, new in spans if new is not None]
     out, at, counts = [], 0, {}
     for start, _, end, name, new in sorted(found):
         if start >= at:

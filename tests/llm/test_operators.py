@@ -52,6 +52,40 @@ def test_pseudonyms_keep_format_validity_and_links():
     assert [len(x) for x in new.split(";")][1] == len(" +1 (136) 555-7479")
 
 
+@pytest.mark.parametrize("text, kind, numbers", [
+    ("4111 1111 1111 1111 12/27", "card", ["4111 1111 1111 1111"]),
+    ("4111-1111-1111-1111 123", "card", ["4111-1111-1111-1111"]),
+    ("no 7 4111 1111 1111 1111", "card", ["4111 1111 1111 1111"]),
+    ("2024-02-29 4111 1111 1111 1111", "card", ["4111 1111 1111 1111", "2024-02-29"]),
+    ("4111 1111 1111 1111 5500 0000 0000 0004 9", "card", ["4111 1111 1111 1111", "5500 0000 0000 0004"]),
+    ("33 3782 822463 10005 12", "card", ["3782 822463 10005"]),
+    ("4111111111111111 5500000000000004", "card", ["4111111111111111", "5500000000000004"]),
+    ("to BE68 5390 0754 7034 EUR", "iban", ["BE68 5390 0754 7034"]),
+    ("GB82 WEST 1234 5698 7654 32 PAID IN FULL", "iban", ["GB82 WEST 1234 5698 7654 32"]),
+    ("AB12 BE68 5390 0754 7034 BE68 5390 0754 7034 PAID", "iban", ["BE68 5390 0754 7034"]),
+    ("PAY DE89370400440532013000 NOW", "iban", ["DE89370400440532013000"]),
+    ("on 12/31/2024 and 31/12/2024", "date", ["12/31/2024", "31/12/2024"]),
+])
+def test_numbers_beside_others_are_found(text, kind, numbers):
+    new, found = pii.pseudonymise(text, b"key")
+    assert found[kind] >= len([n for n in numbers if n != "2024-02-29"])
+    assert len(new) == len(text) and not any(n in new for n in numbers)
+    rest = text
+    for n in numbers:
+        rest = rest.replace(n, " " * len(n))
+    assert all(b == a for a, b in zip(rest, new) if a != " ")
+
+
+def test_dates_of_all_orders_stay_linked_and_distinct():
+    hidden = lambda t: pii.pseudonymise(t, b"key")[0]
+    y, m, d = hidden("2024-12-31").split("-")
+    assert hidden("12/31/2024") == f"{m}/{d}/{y}" and hidden("31/12/2024") == f"{d}/{m}/{y}"
+    assert hidden("13/13/2024") == "13/13/2024" and hidden("02/30/2024") == "02/30/2024"
+    years = [f"{a:02d}/{b:02d}/2024" for a in range(1, 32) for b in range(1, 32)]
+    changed = [t for t in years if hidden(t) != t]
+    assert len({hidden(t) for t in changed}) == len(changed) > 580
+
+
 def test_pii_table(spark):
     docs = docs_of(spark, [*AWKWARD, "mail a.b@c.org"]).withColumn("pii_found", F.lit(1))
     out = {r["doc_id"]: r for r in pii.pseudonymise_documents(docs, "k").collect()}
