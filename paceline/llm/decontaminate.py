@@ -3,16 +3,24 @@
 Texts are canonicalised to templates: numbers, units after numbers and names (capitalised words
 inside a sentence) become typed placeholders, all other words are lower-cased. Windows of
 ``WINDOW`` template words are hash-joined between documents and benchmark items; the words
-behind the placeholders travel along as slots. Windows of one alignment (document, item, shift)
-are put together: the document holds the item if enough of its windows match and the slots are
-consistent, that is every benchmark value has one replacement throughout.
+behind the placeholders travel along as slots. Literal windows, of the lower-cased words
+themselves, are joined beside them: they find copies in other case and items dense in slots.
+Items of less than three windows also have narrower windows, so that two changes at the thirds
+leave some in each; items of less than one window are one literal window.
+
+Windows are put together by document, item and shift, and also over the shifts of a range as
+long as the item, as inserted and deleted words move the rest. The document holds the item if
+such a group covers enough of its words and the slots are consistent, that is every benchmark
+value has one replacement throughout.
 
 Only windows that may match leave the document scan: a bitmap of the benchmark's window hashes,
 of fixed size whatever the benchmark, is tested in the tasks; it can only let too many through,
 and the join decides.
 
-Defined results: null and empty texts hold nothing; items of fewer than ``WINDOW`` words have no
-window and match nothing; windows with fewer than half literal words are not used; repeated rows
+Defined results: null and empty texts hold nothing; items of fewer than ``WINDOW`` words are held
+by documents with all their words in a row, in any case; template windows with fewer than
+``WINDOW / 2`` literal words are not used; a group covers ``WINDOW`` words at least, and coverage
+is the share of the item's words or, if higher, of those in its template windows; repeated rows
 get equal results; an empty benchmark leaves all documents clean.
 """
 
@@ -78,22 +86,29 @@ class Templates:
         unit[behind] = np.isin(h[behind], _unit_hashes())
         unit[self.first[:-1][self.first[:-1] < n]] = False
         self.slot = number | name | unit
+        self.word = h
         self.hash = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, h)))
+        self.owner = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+        self._slots = np.concatenate([[0], np.cumsum(self.slot)])
+        self._prefix: dict[bool, np.ndarray] = {}
 
-    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, first word, hash) of every usable window."""
+    def windows(self, width: int, literal: bool, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, first word, hash) of every usable window: of the words themselves, or of
+        template words with ``least`` literal ones."""
         n = len(self.hash)
-        owner = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
         if n < width:
             return np.zeros(0, dtype=int), np.zeros(0, dtype=int), np.zeros(0, dtype=np.uint64)
-        prefix = np.zeros(n + 1, dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            np.cumsum(common.mixed(self.hash) * common.powers(n), out=prefix[1:])
-        slots = np.concatenate([[0], np.cumsum(self.slot)])
-        at = np.arange(n - width + 1)
-        literal = width - (slots[width:] - slots[:-width])
-        at = at[(owner[:n - width + 1] == owner[width - 1:]) & (2 * literal >= width)]
-        return owner[at], at, common.mixed(common.span_hashes(prefix, at, at + width))
+        if literal not in self._prefix:
+            prefix = np.zeros(n + 1, dtype=np.uint64)
+            with np.errstate(over="ignore"):
+                np.cumsum(common.mixed(self.word if literal else self.hash) * common.powers(n), out=prefix[1:])
+            self._prefix[literal] = prefix
+        usable = self.owner[:n - width + 1] == self.owner[width - 1:]
+        if not literal:
+            usable &= width - (self._slots[width:] - self._slots[:-width]) >= least
+        at = np.flatnonzero(usable)
+        h = common.span_hashes(self._prefix[literal], at, at + width)
+        return self.owner[at], at, common.mixed(h ^ np.uint64(2 * width + literal))
 
     def slots_of(self, data: bytes, at: int, width: int) -> list[str]:
         return [data[self.begin[w]:self.end[w]].decode("utf-8", "replace").lower()
@@ -111,10 +126,19 @@ def _unit_hashes() -> np.ndarray:
     return _units[0]
 
 
-def template_windows(texts: DataFrame, key: str, width: int, bitmap: np.ndarray | None = None) -> DataFrame:
-    """``key, n_windows, place, window, slots`` of every window, or those the bitmap lets pass.
+def _narrow(n_words: np.ndarray, width: int) -> np.ndarray:
+    """The width of an item's narrower windows; ``width`` if it has none."""
+    thirds = np.maximum((n_words - 2) // 3, width // 2)
+    return np.where(n_words < width, n_words, np.where(n_words < 3 * width, thirds, width))
+
 
-    ``place`` counts words from 0; ``slots`` are the words behind the window's placeholders.
+def template_windows(texts: DataFrame, key: str, width: int, kinds: list[tuple[int, bool]] | None = None,
+                     bitmap: np.ndarray | None = None) -> DataFrame:
+    """``key, n_words, n_typed, place, width, literal, window, slots`` of the windows of items, or of
+    the windows of documents in the ``kinds`` (width, literal) given that the bitmap lets pass.
+
+    ``place`` counts words from 0; ``slots`` are the words behind the window's placeholders;
+    ``n_typed`` is the number of words in template windows of the item.
     """
     kept = texts.select(key, "text")
     shared = None if bitmap is None else texts.sparkSession.sparkContext.broadcast(bitmap)
@@ -124,21 +148,38 @@ def template_windows(texts: DataFrame, key: str, width: int, bitmap: np.ndarray
             all_texts = common.texts_of(batch.column(1))
             for first, _, data, starts in common.chunks(all_texts):
                 words = Templates(data, starts)
-                owner, at, h = words.windows(width)
-                count = np.bincount(owner, minlength=len(starts) - 1)
-                if shared is not None:
-                    bucket = (h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-                    passed = np.flatnonzero(shared.value[bucket >> 3] >> (bucket & 7).astype(np.uint8) & 1)
-                    owner, at, h = owner[passed], at[passed], h[passed]
-                raw = data.tobytes() if len(at) else b""
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(owner + first)), pa.array(count[owner]),
-                     pa.array(at - words.first[owner]), pa.array(h.view(np.int64)),
-                     pa.array([words.slots_of(raw, a, width) for a in at], pa.list_(pa.string()))],
-                    names=[key, "n_windows", "place", "window", "slots"])
+                n_words = np.diff(words.first)
+                found = []
+                for size, literal in [(w, k) for w in range(1, width + 1) for k in (False, True)] if kinds is None else kinds:
+                    owner, at, h = words.windows(size, literal, width // 2)
+                    if shared is None:
+                        own = (size == _narrow(n_words, width)) | (size == width)
+                        own &= literal | (n_words >= width)
+                        passed = np.flatnonzero(own[owner])
+                    else:
+                        bucket = (h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+                        passed = np.flatnonzero(shared.value[bucket >> 3] >> (bucket & 7).astype(np.uint8) & 1)
+                    found.append((size, literal, owner[passed], at[passed], h[passed]))
+                step = np.zeros(len(words.hash) + 1, dtype=np.int64)
+                for size, literal, _, at, _ in found:
+                    if not literal:
+                        np.add.at(step, at, 1)
+                        np.add.at(step, at + size, -1)
+                typed = np.concatenate([[0], np.cumsum(np.cumsum(step[:-1]) > 0)])
+                n_typed = np.diff(typed[words.first])
+                raw = data.tobytes() if any(len(f[2]) for f in found) else b""
+                for size, literal, owner, at, h in found:
+                    if len(at):
+                        slots = [[] if literal and shared is not None else words.slots_of(raw, a, size) for a in at]
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(0).take(pa.array(owner + first)), pa.array(n_words[owner]), pa.array(n_typed[owner]),
+                             pa.array(at - words.first[owner]), pa.array(np.full(len(at), size)),
+                             pa.array(np.full(len(at), literal)), pa.array(h.view(np.int64)), pa.array(slots, pa.list_(pa.string()))],
+                            names=[key, "n_words", "n_typed", "place", "width", "literal", "window", "slots"])
 
     kind = kept.schema[key].dataType.simpleString()
-    return kept.mapInArrow(scan, f"{key} {kind}, n_windows long, place long, window long, slots array<string>")
+    return kept.mapInArrow(scan, f"{key} {kind}, n_words long, n_typed long, place long, width long, literal boolean, "
+                                 "window long, slots array<string>")
 
 
 def _bitmap(windows: DataFrame) -> np.ndarray:
@@ -150,18 +191,42 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
     return np.packbits(bits, bitorder="little")
 
 
+def _covered(spans):
+    """The number of places in a set of (at, width)."""
+    start = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
+
+    def add(done, x):
+        end = x["at"] + x["width"]
+        return F.struct(F.greatest(done["end"], end).alias("end"),
+                        (done["n"] + F.greatest(F.lit(0).cast("long"), end - F.greatest(done["end"], x["at"]))).alias("n"))
+
+    return F.aggregate(F.array_sort(spans), start, add, lambda done: done["n"])
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str, width: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """``key, item_id, coverage``: the items each document holds. ``key`` names a document."""
     items = written(template_windows(benchmark.where("item_id IS NOT NULL"), "item_id", width), "items")
-    found = template_windows(docs, key, width, _bitmap(items))
-    item = items.select("item_id", F.col("n_windows").alias("_of"), F.col("place").alias("_at"),
-                        "window", F.col("slots").alias("_asked"))
-    pairs = found.join(item, "window").where(F.size("slots") == F.size("_asked"))
-    pairs = pairs.select(key, "item_id", "_of", "_at", (F.col("place") - F.col("_at")).alias("_shift"),
-                         F.arrays_zip(F.col("_asked").alias("asked"), F.col("slots").alias("given")).alias("_slots"))
-    by = [key, "item_id", "_shift"]
-    covered = pairs.groupBy(*by).agg((F.count_distinct("_at") / F.max("_of")).alias("coverage"))
-    slots = (pairs.where(F.size("_slots") > 0).select(*by, F.explode("_slots").alias("s"))
+    kinds = sorted((r["width"], r["literal"]) for r in items.select("width", "literal").distinct().collect())
+    found = template_windows(docs, key, width, kinds, _bitmap(items)).select(key, "place", "window", "slots")
+    item = items.select("item_id", "n_words", "n_typed", F.col("place").alias("at"), "width", "literal", "window",
+                        F.col("slots").alias("asked"))
+    pairs = found.join(item, "window").withColumn("given", F.when(F.col("literal"), F.col("asked")).otherwise(F.col("slots")))
+    pairs = pairs.where(F.size("given") == F.size("asked")).withColumn("shift", F.col("place") - F.col("at"))
+    # The windows of one shift, and of ranges of shifts that overlap by half.
+    reach = F.greatest(F.col("n_words"), F.lit(width))
+    groups = [(0, F.col("shift")), (1, F.floor(F.col("shift") / reach)), (2, F.floor((F.col("shift") + reach / 2) / reach))]
+    pairs = pairs.select(key, "item_id", "n_words", "n_typed", F.struct("at", "width").alias("span"), "literal",
+                         F.arrays_zip("asked", "given").alias("slots"),
+                         F.explode(F.array(*[F.struct(F.lit(k).alias("k"), v.cast("long").alias("v")) for k, v in groups])).alias("range"))
+    by = [key, "item_id", "range"]
+    covered = (pairs.groupBy(*by).agg(F.max("n_words").alias("n_words"), F.max("n_typed").alias("n_typed"),
+                                      F.collect_set("span").alias("spans"),
+                                      F.collect_set(F.when(~F.col("literal"), F.col("span"))).alias("typed"))
+               .withColumn("n", _covered("spans")).withColumn("n_of_typed", _covered("typed")))
+    least = F.least(F.lit(width).cast("long"), F.col("n_words"))
+    share = lambda n, of: F.when((F.col(n) >= least) & (F.col(of) > 0), F.col(n) / F.col(of)).otherwise(0.0)
+    covered = covered.select(*by, F.greatest(share("n", "n_words"), share("n_of_typed", "n_typed")).alias("coverage"))
+    slots = (pairs.where(F.size("slots") > 0).select(*by, F.explode("slots").alias("s"))
              .select(*by, F.col("s.asked").alias("asked"), F.col("s.given").alias("given")).distinct()
              .groupBy(*by, "asked").count().where("count > 1").select(*by).distinct())
     return (covered.where(F.col("coverage") >= coverage).join(slots, by, "left_anti")

@@ -291,6 +291,39 @@ def test_decontamination_finds_parameter_variants(spark):
     assert decontaminate.contaminated(docs.limit(0), bench).count() == 0
 
 
+def held(spark, texts, items):
+    docs, bench = docs_of(spark, texts), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = docs.withColumn("row", decontaminate.row_key()).join(decontaminate.contaminated(docs, bench), F.col("row") == F.col("_row"))
+    return {r["doc_id"]: r["items"] for r in rows.select("doc_id", "items").collect()}
+
+
+def test_edited_copies_are_found(spark):
+    rng = random.Random(12)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    items, texts, expected = [], [], []
+
+    def plant(edited):
+        expected.append(len(items) - 1)
+        texts.append(" ".join([*fresh(30), *edited, *fresh(30)]))
+
+    for n in (9, 12, 15, 16, 19, 22, 38, 60):
+        w = fresh(n)
+        items.append(" ".join(w))
+        plant([*w[:n // 2], "other", *w[n // 2 + 1:]])
+        plant([*w[:n // 2], "about", *w[n // 2:]])
+        if n > 20:
+            plant([*w[:n // 2], *w[n // 2 + 1:]])
+            plant([*w[:n // 3], "more", *w[n // 3:2 * n // 3], "yet", *w[2 * n // 3:]])
+    items.append("A train with 12 cars leaves the old town of Leeds at noon and then travels 60 km to reach the port of Oslo while "
+                 "in Leeds a bus goes 5 km to meet it there")
+    expected.append(len(items) - 1)
+    texts.append("Then " + items[-1].replace("60 km", "about 75 km").replace("Leeds", "Paris").replace("12", "31"))
+    n_copies = len(texts)
+    texts += [" ".join(items[6].split()[:15] + fresh(60)), " ".join(fresh(200))]  # less than half of an item
+    out = held(spark, texts, items)
+    assert out == {k: [expected[k]] for k in range(n_copies)}
+
+
 # -- HTML ----------------------------------------------------------------------------------
 
 
