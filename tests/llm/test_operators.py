@@ -324,6 +324,14 @@ def test_edited_copies_are_found(spark):
     assert out == {k: [expected[k]] for k in range(n_copies)}
 
 
+def test_dense_short_and_recased_items_are_found(spark):
+    items = ["12 + 35 = 47, 18 + 22 = 40, 51 + 16 = 67, 33 + 29 = 62", "Anna Berg, Carl Dahl, Eva Falk, Gustav Holm, Ida Juhl",
+             "Who wrote the Red Book?", "A train with 12 cars leaves the town of Leeds at noon and travels 60 km to reach Oslo while Leeds has 12 roads."]
+    texts = [f"before {change(i)} after" for i in items for change in (str, str.lower, str.upper)]
+    out = held(spark, [*texts, "Who wrote the blue Red Book?", "52 + 3 = 9", "Carl Berg, Anna Dahl"], items)
+    assert out == {k: [k // 3] for k in range(12)}
+
+
 # -- HTML ----------------------------------------------------------------------------------
 
 
