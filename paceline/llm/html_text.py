@@ -2,7 +2,9 @@
 
 A page is cut into text blocks at block-level tags. A block is described by its words and link
 density, by those of the blocks before and after it, and by whether it stands inside an article
-or inside a part that names itself something else (navigation, footer, form, advert, comments).
+or inside another part (navigation, footer, form, advert, comments), and how sure that is: an
+element or comment section is one, a name word in class, id, role or aria-label only speaks for
+one, and does not count where the element also names an article or holds the page's.
 A decision tree decides which blocks are main text; it is grown here, by Gini impurity, from the
 labelled table below.
 
@@ -30,19 +32,22 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "span strike strong sub sup time tt u var wbr br input".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 FLOWING = frozenset("p dt dd li option tr td th thead tbody tfoot h1 h2 h3 h4 h5 h6".split())
-#: Words in class, id and role that name a part.
-BOILER_WORDS = ("ad|ads|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|promotion|sidebar|aside|widget|"
-                "menu|menubar|nav|navbar|navigation|breadcrumb|breadcrumbs|footer|header|masthead|topbar|toolbar|cookie|cookies|"
-                "consent|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|"
-                "social|related|recommended|recommendations|comment|comments|commentlist|disqus|respond|reply|replies|discussion|"
-                "pagination|pager|skip|tags|meta|byline|contentinfo|complementary|search|form|copyright|legal|disclaimer")
+#: Words in class, id, role and aria-label that name a part; how sure each is.
+COMMENT_WORDS = "comment|comments|commentlist|disqus|respond|reply|replies"
+WEAK_WORDS = ("header|discussion|related|recommended|recommendations|tags|meta|byline|notice|notices|alert|search|form|"
+              "legal|copyright|disclaimer|social|share|sharing|promotion|skip")
+NAME_WORDS = ("ad|ads|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|sidebar|aside|widget|"
+              "menu|menubar|nav|navbar|navigation|breadcrumb|breadcrumbs|footer|masthead|topbar|toolbar|cookie|cookies|"
+              "consent|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|pagination|pager|contentinfo|complementary")
+WEAK, NAMED, SURE = 0.25, 0.5, 1.0
 ARTICLE_WORDS = "article|main|content|post|entry|story|body|articlebody|maincontent|postcontent|entrycontent|text"
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<([a-zA-Z][^\s/>]*)([^>]*)>"
                     r"|</([a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*>|<[a-zA-Z/!?][^>]*\Z", re.S)
-_NAMED = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_BOILER_WORD = re.compile(rf"(?:^|[\s_-])(?:{BOILER_WORDS})(?:$|[\s_-]|\d)", re.I)
-_ARTICLE_WORD = re.compile(rf"(?:^|[\s_-])(?:{ARTICLE_WORDS})(?:$|[\s_-])", re.I)
+_NAMED = re.compile(r"(class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_SURENESS = {w: sure for words, sure in ((COMMENT_WORDS, SURE), (NAME_WORDS, NAMED), (WEAK_WORDS, WEAK)) for w in words.split("|")}
+_ARTICLE = frozenset(ARTICLE_WORDS.split("|"))
+_STATE = re.compile(r"(?:has|no|with|without)[_-]", re.I)  # has-sidebar: the page's layout, not this part
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
 #: The labelled table: words, link density, words and link density of the block before and of the
@@ -67,6 +72,22 @@ LABELLED = (
     (8, 0.5, 40, 0.0, 0, 0.0, 0, 0, 0), (2, 0.0, 3, 0.0, 1, 0.0, 0, 0, 0), (10, 1.0, 70, 0.0, 66, 0.0, 0, 0, 0),
     (45, 0.7, 8, 1.0, 9, 1.0, 0, 0, 0), (1, 1.0, 90, 0.0, 1, 1.0, 0, 0, 0), (5, 0.0, 4, 0.7, 3, 0.6, 0, 0, 0),
 )
+#: The same for blocks in parts of which only a name speaks: words that main parts have too, then plainer ones.
+DOUBTFUL = (
+    (6, 0.0, 0, 0.0, 80, 0.0, 0, WEAK, 1), (3, 0.0, 2, 1.0, 60, 0.0, 1, WEAK, 1), (2, 0.0, 70, 0.0, 50, 0.0, 0, WEAK, 1),
+    (90, 0.0, 2, 0.0, 70, 0.0, 1, WEAK, 1), (60, 0.05, 80, 0.0, 40, 0.0, 0, WEAK, 1), (30, 0.0, 45, 0.0, 3, 0.0, 1, WEAK, 1),
+    (14, 0.0, 80, 0.0, 3, 1.0, 1, WEAK, 1),
+    (14, 0.0, 40, 0.0, 55, 0.0, 0, WEAK, 1), (25, 0.1, 30, 0.0, 0, 0.0, 0, WEAK, 1), (160, 0.0, 0, 0.0, 2, 1.0, 0, WEAK, 1),
+    (2, 1.0, 3, 1.0, 2, 1.0, 1, WEAK, 0), (5, 0.9, 60, 0.0, 4, 1.0, 1, WEAK, 0), (2, 0.0, 70, 0.0, 4, 1.0, 1, WEAK, 0),
+    (4, 1.0, 2, 0.0, 5, 1.0, 0, WEAK, 0), (30, 0.8, 20, 0.0, 25, 0.7, 0, WEAK, 0), (3, 0.0, 2, 1.0, 4, 1.0, 0, WEAK, 0),
+    (12, 0.7, 90, 0.0, 70, 0.0, 1, WEAK, 0), (2, 0.0, 4, 0.0, 3, 1.0, 0, WEAK, 0),
+    (110, 0.0, 70, 0.0, 90, 0.0, 0, NAMED, 1), (50, 0.05, 4, 0.0, 60, 0.0, 0, NAMED, 1), (70, 0.0, 0, 0.0, 0, 0.0, 0, NAMED, 1),
+    (45, 0.0, 80, 0.0, 3, 1.0, 1, NAMED, 1), (200, 0.02, 2, 1.0, 120, 0.0, 1, NAMED, 1), (90, 0.0, 60, 0.0, 2, 1.0, 1, NAMED, 1),
+    (9, 0.0, 3, 0.0, 40, 0.0, 0, NAMED, 0), (25, 0.0, 60, 0.0, 80, 0.0, 1, NAMED, 0), (3, 1.0, 2, 1.0, 90, 0.0, 0, NAMED, 0),
+    (12, 0.0, 5, 1.0, 6, 0.0, 0, NAMED, 0), (50, 0.8, 70, 0.0, 30, 0.5, 0, NAMED, 0), (2, 0.0, 100, 0.0, 80, 0.0, 0, NAMED, 0),
+    (28, 0.0, 1, 1.0, 1, 1.0, 0, NAMED, 0), (60, 0.6, 40, 0.0, 90, 0.0, 1, NAMED, 0), (18, 0.1, 90, 0.0, 70, 0.0, 1, NAMED, 0),
+    (1, 0.0, 0, 0.0, 60, 0.0, 0, NAMED, 0), (7, 0.0, 50, 0.0, 0, 0.0, 1, NAMED, 0), (30, 0.0, 90, 0.0, 110, 0.0, 0, NAMED, 0),
+)
 
 
 # -- decision tree -----------------------------------------------------------------------
@@ -112,42 +133,78 @@ def decide(tree: Node, row: tuple) -> bool:
 
 
 def trained_tree() -> Node:
-    table = np.array(LABELLED, dtype=float)
-    return grow(table[:, :-1], table[:, -1])
+    """One tree for blocks in no other part or surely in one, and one for those between."""
+    sure, doubtful = (grow(t[:, :-1], t[:, -1]) for t in (np.array(LABELLED, dtype=float), np.array(DOUBTFUL, dtype=float)))
+    at = len(LABELLED[0]) - 2
+    return Node(sure.share, at, WEAK / 2, sure, Node(sure.share, at, (NAMED + SURE) / 2, doubtful, sure))
 
 
 # -- blocks --------------------------------------------------------------------------------
 
 
+@dataclass
+class Part:
+    """An element that is another part of the page, and how sure that is; ``articles`` in it."""
+
+    sure: float
+    articles: int = 0
+
+
 @dataclass
 class Block:
     text: str
     words: int
     linked: int
     article: bool
-    boiler: bool
+    parts: tuple[Part, ...]
 
     @property
     def density(self) -> float:
         return self.linked / self.words
 
-
-def _part(name: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element starts an article, and whether it starts another part."""
-    named = " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)) if attributes else ""
-    article = name in ("article", "main") or bool(named and _ARTICLE_WORD.search(named))
-    boiler = name in BOILER or (name == "header" and not in_article) or bool(attributes and _HIDDEN.search(attributes))
-    if not boiler and named and name not in ("html", "body", "article", "main"):
-        boiler = bool(_BOILER_WORD.search(named))
-    return article and not boiler, boiler
+    @property
+    def boiler(self) -> float:
+        return max((p.sure for p in self.parts), default=0.0)
+
+
+def _named(attributes: str) -> tuple[bool, float]:
+    """Whether names say that an element starts an article, and how surely another part."""
+    article, sure = False, 0.0
+    for kind, *values in _NAMED.findall(attributes):
+        tokens = [t for t in "".join(values).lower().split() if not _STATE.match(t)]
+        label = kind.lower() == "aria-label"  # prose, not a name
+        plain = False
+        for token in tokens:
+            words = [w.rstrip("0123456789") for w in re.split("[_-]", token)]
+            found = [_SURENESS[w] for w in words if w in _SURENESS]
+            if found:
+                sure = max(sure, min(max(found), WEAK) if label else max(found))
+            elif not _ARTICLE.isdisjoint(words):
+                plain = True
+            if found and words[-1] in _SURENESS and _SURENESS[words[-1]] == WEAK and not _ARTICLE.isdisjoint(words):
+                plain = True  # entry-header is a part of the article
+        article = article or (plain and not (label and sure))
+    return article, 0.0 if article else sure
+
+
+def _part(name: str, attributes: str, in_article: bool) -> tuple[bool, float]:
+    """Whether an element starts an article, and how surely it starts another part."""
+    if name in BOILER or (name == "header" and not in_article) or (attributes and _HIDDEN.search(attributes)):
+        return False, SURE
+    article, sure = _named(attributes) if attributes else (False, 0.0)
+    if name in ("html", "body", "article", "main"):
+        return article or name in ("article", "main"), 0.0
+    return article, sure
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order; parts of one paragraph in inline markup stay together."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, inside article, inside another part
+    stack: list[tuple[str, bool, tuple[Part, ...]]] = []  # open elements: name, inside article, other parts around
+    named: list[Part] = []  # by name only
     pieces: list[tuple[str, bool]] = []
-    article = boiler = link = False
+    article = link = False
+    parts: tuple[Part, ...] = ()
     at = 0
 
     def flush():
@@ -156,7 +213,7 @@ def blocks(page: str) -> list[Block]:
             if text:
                 linked = sum(len(p.split()) for p, in_link in pieces if in_link)
                 words = text.count(" ") + 1
-                out.append(Block(text, words, min(linked, words), article, boiler))
+                out.append(Block(text, words, min(linked, words), article, parts))
             pieces.clear()
 
     while True:
@@ -193,11 +250,18 @@ def blocks(page: str) -> list[Block]:
             if name in FLOWING:  # their end tags may be missing: a new one ends the last
                 while stack and stack[-1][0] in FLOWING:
                     stack.pop()
-                article, boiler = stack[-1][1:] if stack else (False, False)
+                article, parts = stack[-1][1:] if stack else (False, ())
             link = link and name == "a"
             starts, other = _part(name, attributes, article)
-            article, boiler = article or starts, boiler or other
-            stack.append((name, article, boiler))
+            if name in ("article", "main") and not (attributes and _named(attributes)[1]):
+                for part in parts:
+                    part.articles += 1 if name == "article" else -len(page)
+            if other:
+                parts = (*parts, Part(other))
+                if other < SURE:
+                    named.append(parts[-1])
+            article = article or starts
+            stack.append((name, article, parts))
         elif closed:
             name = closed.lower()
             if name == "a":
@@ -207,10 +271,13 @@ def blocks(page: str) -> list[Block]:
                     flush()
                     while stack.pop()[0] != name:
                         pass
-                    article, boiler = stack[-1][1:] if stack else (False, False)
+                    article, parts = stack[-1][1:] if stack else (False, ())
             elif name not in INLINE:
                 flush()
     flush()
+    for part in named:  # what holds the main element or the page's one article is none
+        if part.articles == 1 or part.articles < 0:
+            part.sure = 0.0
     return out
 
 
@@ -220,7 +287,7 @@ def main_text(page: str, tree: Node) -> str:
     for k, b in enumerate(found):
         before = (found[k - 1].words, found[k - 1].density) if k else (0, 0.0)
         after = (found[k + 1].words, found[k + 1].density) if k + 1 < len(found) else (0, 0.0)
-        if decide(tree, (b.words, b.density, *before, *after, int(b.article), int(b.boiler))):
+        if decide(tree, (b.words, b.density, *before, *after, int(b.article), b.boiler)):
             kept.append(b.text)
     return "\n".join(kept)
 

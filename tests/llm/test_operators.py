@@ -347,6 +347,37 @@ def test_main_text():
     assert html_text.main_text(f"<body><ul><li><a>x</a><li><a>y</a></ul><p>{prose}</p><p>{prose}</p>", tree) == "\n".join([prose.strip()] * 2)
 
 
+def test_a_name_word_does_not_decide_alone():
+    tree = html_text.trained_tree()
+    prose = ("words that go on " * 12).strip()
+    article = f"<h1>The title of a story about some words</h1><p>{prose}</p><p>{prose} and on</p>"
+    whole = f"The title of a story about some words\n{prose}\n{prose} and on"
+    nav, foot = "<nav><a href=x>Home</a></nav>", "<footer>&copy; x</footer>"
+    for around in ('<div id="content" class="has-sidebar">{}</div>', '<div class="main no-sidebar">{}</div>', '<div class="has-sidebar">{}</div>',
+                   '<div class="widget"><article>{}</article></div>', '<div class="banner"><main>{}</main></div>',
+                   '<section id="discussion">{}</section>', '<div aria-label="Related work">{}</div>',
+                   '<article><section id="discussion">{}</section></article>', '<article><div aria-label="Related work">{}</div></article>',
+                   '<article><div class="tags-page meta">{}</div></article>'):
+        assert html_text.main_text(nav + around.format(article) + foot, tree) == whole, around
+    for name in ("entry-header", "post-header"):
+        for around in ("<article>{}</article>", "<div>{}</div>"):
+            page = nav + around.format(article.replace("<h1>", f'<div class="{name}"><h1>').replace("</h1>", "</h1></div>")) + foot
+            assert html_text.main_text(page, tree) == whole, (name, around)
+    assert html_text.main_text(f'<div class="elementor-widget"><p>{prose}</p></div>', tree) == prose
+    links = "<ul><li><a href=1>One</a></li><li><a href=2>Two more</a></li><li><a href=3>Three</a></li></ul>"
+    for part in (f'<div class="related">{links}</div>', f'<div class="main-menu">{links}</div>', '<div class="ad">Buy now and save a lot today</div>',
+                 f'<div class="comments"><article class="comment-body"><p>{prose}</p></article></div>', f'<div class="sidebar">{links}</div>',
+                 '<div class="newsletter"><p>Sign up for our weekly letter</p></div>', f"<aside><p>{prose}</p></aside>"):
+        assert html_text.main_text(f"<article>{article}</article>" + part, tree) == whole, part
+        assert html_text.main_text(f"<article>{article}{part}</article>", tree) == whole, part
+
+
+def test_names_have_labelled_rows_of_both_kinds():
+    tree = html_text.trained_tree()
+    assert all(html_text.decide(tree, r[:-1]) == bool(r[-1]) for r in html_text.DOUBTFUL)
+    assert {(r[7], r[8]) for r in html_text.DOUBTFUL} == {(s, y) for s in (html_text.WEAK, html_text.NAMED) for y in (0, 1)}
+
+
 def test_tree_fits_its_table():
     table = np.array(html_text.LABELLED)
     assert all(html_text.decide(html_text.trained_tree(), tuple(r[:-1])) == bool(r[-1]) for r in table)
