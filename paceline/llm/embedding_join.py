@@ -7,12 +7,13 @@ down to blocks, and a pair is dropped as soon as its boxes are provably too far
 left is joined in tasks, where the halving goes on to small dense products. A pair of blocks
 gives counts and a star per component, never its pairs of vectors.
 
-Cosines are computed in double precision from the stored components. Equal vectors of a label
-are joined once and weighed by their number.
+Cosines are computed in double precision from the stored components, floats or doubles. Equal
+vectors of a label are joined once and weighed by their number. Vectors of each length are
+joined among themselves; labels may be of any type that has a text.
 
-Defined results: vectors that are null, zero, of another length than most, or hold null or
-non-finite components, and vectors without a label, link with nothing and are kept; rows that
-share an id are one node; an empty table gives an empty result.
+Defined results: vectors that are null, zero, or hold null or non-finite components, and vectors
+without a label, link with nothing and are kept; vectors of different lengths do not link; rows
+that share an id are one node; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -80,6 +81,7 @@ def _blocks(vectors: DataFrame, mean: np.ndarray, axes: np.ndarray, epsilon: flo
     """The vectors in epsilon grid order, cut into blocks of one label with bounding boxes."""
     lead = axes.shape[1]
     cells = [f"c{k}" for k in range(lead)]
+    kind = vectors.schema["embedding"].dataType.elementType.simpleString()
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,26 +91,27 @@ def _blocks(vectors: DataFrame, mean: np.ndarray, axes: np.ndarray, epsilon: flo
                                              names=[*batch.schema.names, *cells])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, part = None, 0
+        waiting, places = None, {}
         for batch in batches:
             table = pa.Table.from_batches([batch.select([0, 1, 2, 3])])
             waiting = table if waiting is None else pa.concat_tables([waiting, table])
             while waiting.num_rows >= 4 * block:
-                used, rows = _cut_blocks(waiting, part, mean, axes, block, last=False)
+                used, rows = _cut_blocks(waiting, places, mean, axes, block, last=False)
                 yield rows
-                waiting, part = waiting.slice(used), part + rows.num_rows
+                waiting = waiting.slice(used)
         if waiting is not None and waiting.num_rows:
-            yield _cut_blocks(waiting, part, mean, axes, block, last=True)[1]
+            yield _cut_blocks(waiting, places, mean, axes, block, last=True)[1]
 
     grid = vectors.select("node", "label", "n", "embedding").mapInArrow(
-        project, "node long, label int, n long, embedding array<float>, " + ", ".join(f"{c} int" for c in cells))
+        project, f"node long, label string, n long, embedding array<{kind}>, " + ", ".join(f"{c} int" for c in cells))
     order = ["label", *cells, "node"]
     return grid.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        cut, "part long, label int, nodes array<long>, weights array<long>, vectors array<float>, "
+        cut, f"task int, place int, label string, nodes array<long>, weights array<long>, vectors array<{kind}>, "
              "low array<double>, high array<double>")
 
 
-def _cut_blocks(table: pa.Table, part: int, mean, axes, block: int, last: bool) -> tuple[int, pa.RecordBatch]:
+def _cut_blocks(table: pa.Table, places: dict, mean, axes, block: int, last: bool) -> tuple[int, pa.RecordBatch]:
+    """``places`` keeps only the label in hand: rows come sorted by label."""
     label = table.column("label").to_numpy()
     ends = np.concatenate([np.flatnonzero(label[1:] != label[:-1]) + 1, [len(label)]])
     rows, at = [], 0
@@ -121,13 +124,16 @@ def _cut_blocks(table: pa.Table, part: int, mean, axes, block: int, last: bool)
             piece = table.slice(at, stop - at).combine_chunks()
             x = _matrix(piece.column("embedding").combine_chunks())
             p = (_unit(x) - mean) @ axes
-            rows.append(((task << 32) + part + len(rows), int(label[at]), piece.column("node").to_pylist(),
-                         piece.column("n").to_pylist(), x.astype(np.float32).ravel(), p.min(axis=0), p.max(axis=0)))
+            place = places.get(label[at], -1) + 1
+            places.clear()
+            places[label[at]] = place
+            rows.append((task, place, label[at], piece.column("node").to_pylist(), piece.column("n").to_pylist(),
+                         x.ravel(), p.min(axis=0), p.max(axis=0)))
             at = stop
-    kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float32()),
-             pa.list_(pa.float64()), pa.list_(pa.float64())]
-    names = ["part", "label", "nodes", "weights", "vectors", "low", "high"]
-    columns = list(zip(*rows)) if rows else [()] * 7
+    kinds = [pa.int32(), pa.int32(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()),
+             pa.list_(table.schema.field("embedding").type.value_type), pa.list_(pa.float64()), pa.list_(pa.float64())]
+    names = ["task", "place", "label", "nodes", "weights", "vectors", "low", "high"]
+    columns = list(zip(*rows)) if rows else [()] * len(names)
     return at, pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
 
 
@@ -173,7 +179,7 @@ class _Side:
     def __init__(self, nodes, weights, vectors, mean, axes):
         self.nodes = np.asarray(nodes, dtype=np.int64)
         self.weights = np.asarray(weights, dtype=np.int64)
-        self.unit = _unit(np.asarray(vectors, dtype=np.float32).reshape(len(self.nodes), -1))
+        self.unit = _unit(np.asarray(vectors).reshape(len(self.nodes), -1))
         self.projected = (self.unit - mean) @ axes
 
 
@@ -259,36 +265,53 @@ def _join_blocks(pairs: DataFrame, mean, axes, epsilon: float, cosine: float) ->
     return pairs.mapInArrow(joined, "node long, links long, least long")
 
 
+def _numbered(blocks: DataFrame) -> DataFrame:
+    """Blocks with ``at``, their number within the label: places in a task after those of earlier tasks.
+
+    The running sum has a row for each label and task, not one for each block.
+    """
+    here = blocks.groupBy("label", "task").agg((F.max("place") + 1).alias("blocks"))
+    before = Window.partitionBy("label").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = here.select("label", "task", F.coalesce(F.sum("blocks").over(before), F.lit(0)).alias("offset"))
+    return blocks.join(offsets, ["label", "task"]).withColumn("at", F.col("offset") + F.col("place")).drop("offset")
+
+
+def _links(vectors: DataFrame, dim: int, epsilon: float, cosine: float, leading: int, block: int) -> DataFrame:
+    """Rows (node, links, least) of all pairs of near blocks among vectors of one length."""
+    mean, axes = principal_axes(vectors, dim, min(leading, dim))
+    lead = axes.shape[1]
+    blocks = written(_blocks(vectors, mean, axes, epsilon, block), "blocks")
+    boxes = written(_numbered(blocks.select("label", "task", "place", "low", "high")), "boxes")
+    pairs = _block_pairs(boxes.select("label", "at", "low", "high"), lead, epsilon)
+    data = blocks.join(boxes.select("label", "task", "place", "at"), ["label", "task", "place"])
+    named = [data.select(F.col("label").alias(f"l{s}"), F.col("at").alias(f"at{s}"), *[F.col(c).alias(c + s) for c in ("nodes", "weights", "vectors")])
+             for s in ("_a", "_b")]
+    work = (pairs.join(named[0], (F.col("label") == F.col("l_a")) & (F.col("left") == F.col("at_a")))
+            .join(named[1], (F.col("label") == F.col("l_b")) & (F.col("right") == F.col("at_b")))
+            .select((F.col("left") == F.col("right")).alias("same"), "nodes_a", "weights_a", "vectors_a",
+                    "nodes_b", "weights_b", "vectors_b"))
+    return written(_join_blocks(work, mean, axes, epsilon, cosine), "embedding-links")
+
+
 def near_duplicates(table: DataFrame, cosine: float = COSINE, leading: int = LEADING, block: int = BLOCK) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of (vec_id, embedding, label)."""
     epsilon = float(np.sqrt(2 - 2 * cosine))
-    rows = table.select("vec_id", F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<float>").alias("embedding"))
+    stored = table.schema["embedding"].dataType.elementType.simpleString()
+    kind = "float" if stored == "float" else "double"
+    rows = table.select("vec_id", F.col("label").cast("string").alias("label"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     ok = usable("embedding") & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
-    sizes = rows.where(ok).groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    if not sizes:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                           F.lit(True).alias("kept"))
-    dim = sizes[0]["dim"]
-    ok = ok & (F.size("embedding") == dim)
     rows = rows.withColumn("key", F.when(ok, F.xxhash64("label", "embedding"))).withColumn("check", F.when(ok, F.hash("embedding", "label")))
 
     distinct = written(rows.where("key IS NOT NULL").groupBy("key", "check", "label", "embedding")
                        .agg(F.min("vec_id").alias("node"), F.count("*").alias("n")), "vectors")
-    mean, axes = principal_axes(distinct, dim, min(leading, dim))
-    blocks = written(_blocks(distinct, mean, axes, epsilon, block), "blocks")
-    lead = axes.shape[1]
-    numbered = blocks.select("part", "label", "low", "high", (F.row_number().over(Window.partitionBy("label").orderBy("part")) - 1).alias("at"))
-    boxes = written(numbered, "boxes")
-    pairs = _block_pairs(boxes, lead, epsilon)
-    places = boxes.select(F.col("part").alias("p"), F.col("label").alias("l"), "at")
-    data = blocks.join(places, F.col("part") == F.col("p")).select("l", "at", "nodes", "weights", "vectors")
-    named = [data.select(F.col("l").alias(f"l{s}"), F.col("at").alias(f"at{s}"), *[F.col(c).alias(c + s) for c in ("nodes", "weights", "vectors")])
-             for s in ("_a", "_b")]
-    work = (pairs.join(named[0], (F.col("label") == F.col("l_a")) & (F.col("left") == F.col("at_a")))
-            .join(named[1], (F.col("label") == F.col("l_b")) & (F.col("right") == F.col("at_b")))
-            .select((F.col("left") == F.col("right")).alias("same"), "nodes_a", "weights_a", "vectors_a",
-                    "nodes_b", "weights_b", "vectors_b"))
-    found = written(_join_blocks(work, mean, axes, epsilon, cosine), "embedding-links")
+    dims = [r["dim"] for r in distinct.select(F.size("embedding").alias("dim")).distinct().orderBy("dim").collect()]
+    if not dims:
+        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
+                           F.lit(True).alias("kept"))
+    parts = [_links(distinct.where(F.size("embedding") == dim), dim, epsilon, cosine, leading, block) for dim in dims]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.union(part)
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     components = connected_components(found, "node", "least").withColumnRenamed("node", "linked")

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paceline.llm import decontaminate, embedding_join, html_text, licenses, mixing, pii, simhash, substrings, token_rollup, toxicity
+from paceline.llm import (decontaminate, embedding_join, hard_negatives, html_text, licenses, mixing, pii, quality_trees,
+                          simhash, substrings, token_rollup, toxicity, whitening)
 from paceline.llm.common import held_out, read
 from paceline.sources.scratch import new_dir, written
 
@@ -107,3 +108,49 @@ def op10_token_counts(spark, sf_dir):
 @query
 def op9_substrings(spark, sf_dir):
     return substrings.deduplicate(read(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op11_quality(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = quality_trees.fit(docs, read(spark, sf_dir, "labels"))
+    scored = quality_trees.score_documents(docs, model, ["doc_id"])
+    return scored.select("doc_id", held_out().alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+ORACLE["op12_hard_negatives"] = """
+WITH lattice AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS id, r.label = a.label AS alike,
+           CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+    FROM lattice a JOIN lattice r ON a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+       s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.alike
+WHERE 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), ["vec_id"])
