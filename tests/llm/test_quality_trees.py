@@ -32,7 +32,7 @@ def test_statistics_of_a_text():
     assert np.isclose(got["ends_in_stop"], 0.2) and np.isclose(got["ends_in_pause"], 0.1) and np.isclose(got["ends_in_symbol"], 0.1)
     assert np.isclose(got["function_words"], 0.3) and np.isclose(got["distinct_words"], 0.6) and np.isclose(got["top_word"], 0.3)
     assert np.isclose(got["distinct_lines"], 2 / 3) and np.isclose(got["words_once"], 0.3)
-    assert np.isclose(got["distinct_triples"], 7 / 8) and np.isclose(got["upper_of_letters"], 8 / 20)
+    assert np.isclose(got["distinct_triples"], 7 / 8) and np.isclose(got["upper_of_letters"], 8 / 24)
     assert np.isclose(sum(v for k, v in got.items() if k.startswith("share_")), 1)
     repeated = named("ha ha ha ha no no")
     assert np.isclose(repeated["repeats_last"], 4 / 6) and np.isclose(repeated["repeats_last_but_one"], 2 / 6)
