@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from paceline.sources.json_values import SPLIT_BYTES, read_values
 from paceline.spec import DEFAULT_FUNNEL, FunnelSpec
 
 # Compressed landing files keep the suffix Spark adds.
@@ -53,17 +54,31 @@ def read_landing(spark: SparkSession, path: str | Sequence[str], *, multiline: b
     )
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
+def list_files(spark: SparkSession, path: str | Sequence[str], files: str = JSON_FILES) -> DataFrame:
     """Every landed file below ``path``; only names and sizes are read, not contents."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", JSON_FILES)
-        .load(path)
+        .option("pathGlobFilter", files)
+        .load(path if isinstance(path, str) else list(path))
         .select(F.col("path").alias("source_file"), "length", "modificationTime")
     )
 
 
+def read_mixed(spark: SparkSession, path: str | Sequence[str], *, strict: bool = False, files: str = JSON_FILES,
+               split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Bulk load like ``read_landing``, a row per JSON value whatever the layout of the files.
+
+    Lines, indented values and arrays may stand in one file, and a large file is read in
+    ranges of ``split_bytes`` whatever its layout.
+    """
+    values = read_values(spark, list_files(spark, path, files), split_bytes=split_bytes)
+    return values.select(
+        landing_row(F.col("value").cast("string"), strict=strict).alias("raw_payload"),
+        F.current_timestamp().cast("timestamp_ntz").alias("ingested_at"),
+    )
+
+
 def payload(events: DataFrame, experiment_id: str | None = None,
             spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
     """Typed events back to the nested producer layout."""
