@@ -691,6 +691,14 @@ def oracle() -> dict[str, str]:
             FROM stg""",
         "ndjson_roundtrip": staged,
         "multiline_scan": staged,
+        "mixed_scan": f"""WITH {EVENTS},
+            numbered_events AS (SELECT event_id, CAST(event_id AS BIGINT) AS n,
+                strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS t FROM stg)
+            SELECT 'object' AS form, event_id, t AS "timestamp", CAST(1 AS BIGINT) AS items
+            FROM numbered_events WHERE n % 3 < 2
+            UNION ALL SELECT 'array', arg_min(event_id, n), arg_min(t, n), count(*)
+            FROM numbered_events WHERE n % 3 = 2 GROUP BY n // 50
+            UNION ALL SELECT 'odd', NULL, NULL, 0 FROM numbered_events WHERE n % 101 = 0""",
         "landing_counts": f"""WITH {EVENTS} SELECT count(*) AS landed_rows, count(*) AS parsed_rows,
             count(*) AS rows_with_id, true AS loaded FROM stg""",
         "json_props": "SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events",
@@ -699,9 +707,12 @@ def oracle() -> dict[str, str]:
         "stream_ingest": staged,
         "stream_ndjson": staged,
         "stream_dedup": staged,
+        "stream_dedup_for_good": staged,
         "sessionize_events": f"WITH {EVENTS} SELECT event_id, user_id, session_no FROM numbered",
         "int_sessions": sessions,
         "stream_sessions": sessions,
+        "stream_kept_sessions": sessions,
+        "stream_retention": f"WITH {SESSIONS}, {RETENTION} SELECT * FROM retention",
         "int_step_transition": transitions,
         "int_step_transition_joined": transitions,
         "fct_conversion_funnel": funnel,
@@ -711,6 +722,7 @@ def oracle() -> dict[str, str]:
         "fct_user_retention": f"WITH {SESSIONS}, {RETENTION} SELECT * FROM retention",
         "fct_ab_transitions": f"WITH {TRANSITIONS}, {AB_TRANSITIONS} SELECT * FROM ab_transitions",
         "built_tables": f"WITH {ALL_TABLES} {dim_counts}",
+        "published_tables": f"WITH {ALL_TABLES} {dim_counts}",
         "dq_suite": _dq_suite(),
         "dq_damaged_events": _suite(DAMAGED, {"stg_events": "damaged"}, assertions=False),
         "event_order_check": order_check,

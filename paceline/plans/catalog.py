@@ -10,13 +10,14 @@ from paceline.operators import experiment, marts, population, quality, segments,
 from paceline.operators import sessions as ses
 from paceline.operators.sessionize import sessionize
 from paceline.operators.staging import dedup_events, stg_events
-from paceline.plans.build import build_tables, table_counts
+from paceline.plans.build import DataTestFailure, build_tables, table_counts
+from paceline.plans.publish import Publication, publish_tables
 from paceline.session import require_utc, size_shuffles
 from paceline.sources import landing as land
 from paceline.sources.adapter import GAP_HOURS, funnel_events
 from paceline.sources.scratch import new_dir, written
 from paceline.spec import DEFAULT_EXPERIMENT, DEFAULT_FUNNEL as SPEC, FunnelSpec
-from paceline.streaming import dedup as sdedup, ingest, sessions as ssessions
+from paceline.streaming import dedup as sdedup, ingest, retention as sretention, sessions as ssessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +104,31 @@ def multiline_scan(spark, sf_dir):
     return typed(stg_events(rows))
 
 
+@query
+def mixed_scan(spark, sf_dir):
+    """Lines, indented objects, indented arrays and cut lines in the same files, read in ranges
+    that cut through them; an array is one row."""
+    body = land.payload(events(spark, sf_dir), EXPERIMENT_ID)
+    n, whole = F.col("event_id").cast("long"), F.struct(*body.columns)
+    line, pretty = F.to_json(whole), {"pretty": "true"}
+    several = F.sort_array(F.collect_list(F.struct(n.alias("n"), whole.alias("event"))))  # of 50 numbers at most
+    arrays = body.where(n % 3 == 2).groupBy(F.floor(n / 50).alias("group")).agg(several.alias("events"))
+    texts = (body.where(n % 3 == 0).select(line.alias("value"))
+             .unionAll(body.where(n % 3 == 1).select(F.to_json(whole, pretty)))
+             .unionAll(arrays.select(F.to_json(F.transform("events", lambda e: e["event"]), pretty)))
+             .unionAll(body.where(n % 101 == 0).select(F.substring(line, 1, 40))))
+    path = new_dir(spark, "mixed")
+    texts.repartition(8).write.text(path)
+    rows = land.read_mixed(spark, path, files="*.txt", split_bytes=1 << 18)
+    get = lambda at, kind: F.try_variant_get("raw_payload", at, kind)
+    first = lambda k: F.coalesce(get(f"$.{k}", "string"), get(f"$[0].{k}", "string"))
+    size = F.size(get("$", "array<variant>"))
+    return rows.select(
+        F.when(F.col("raw_payload").isNull(), "odd").when(size.isNotNull(), "array").otherwise("object").alias("form"),
+        first("event_id").alias("event_id"), first("timestamp").alias("timestamp"),
+        F.coalesce(size, F.col("raw_payload").isNotNull().cast("int")).cast("long").alias("items"))
+
+
 @query
 def landing_counts(spark, sf_dir):
     counts = land.landing_counts(land.read_landing(spark, landed(spark, sf_dir)))
@@ -196,6 +222,19 @@ def built_tables(spark, sf_dir):
     return table_counts(build_tables(events(spark, sf_dir), new_dir(spark, "tables")))
 
 
+@query
+def published_tables(spark, sf_dir):
+    """What readers see after one publication and a second one whose data tests fail."""
+    path, stg = new_dir(spark, "published"), events(spark, sf_dir)
+    publish_tables(spark, stg, path, fail_on_violation=False)
+    try:
+        publish_tables(spark, stg.where("event_type <> 'view_homepage'"), path)
+    except DataTestFailure:
+        pass
+    published = Publication(spark, path).tables()
+    return table_counts({n: df for n, df in published.items() if n.startswith(("stg_", "int_", "fct_"))})
+
+
 # -- data tests ------------------------------------------------------------------------
 
 
@@ -457,6 +496,36 @@ def stream_dedup(spark, sf_dir):
     return typed(spark.read.parquet(out))
 
 
+@query
+def stream_dedup_for_good(spark, sf_dir):
+    """Every event landed twice, the copies batches apart; ids are kept on disk, not in state."""
+    files, out, state = (new_dir(spark, n) for n in ("landing-twice", "stream-dedup", "stream-state"))
+    body = land.payload(events(spark, sf_dir), EXPERIMENT_ID)
+    for _ in range(2):
+        land.write_ndjson(body, files, mode="append")
+    rows = stg_events(ingest.stream_landing(ingest.stream_files(spark, files, max_files=25)))
+    ingest.drain(sdedup.dedup_for_good(rows, out, state, every=None, buckets=16))
+    return typed(sdedup.deduplicated(spark, out))
+
+
+@query
+def stream_kept_sessions(spark, sf_dir):
+    """Sessions by key over several batches: buckets fold, sessions that go on past midnight meet."""
+    out, state = new_dir(spark, "kept-sessions"), new_dir(spark, "stream-state")
+    rows = stg_events(ingest.stream_landing(ingest.stream_files(spark, landed(spark, sf_dir), max_files=8)))
+    ingest.drain(ssessions.keep_sessions(rows, out, state, every=None, buckets=16, max_parts=3))
+    return ssessions.kept_sessions(spark, out).drop(*[s.first_ts_col for s in SPEC.steps])
+
+
+@query
+def stream_retention(spark, sf_dir):
+    """Cohorts by delta over several batches of files."""
+    out, state = new_dir(spark, "retention"), new_dir(spark, "stream-state")
+    rows = stg_events(ingest.stream_landing(ingest.stream_files(spark, landed(spark, sf_dir), max_files=12)))
+    ingest.drain(sretention.stream_retention(rows, out, state, every=None, buckets=16))
+    return sretention.RetentionTable(spark, out, buckets=16).read()
+
+
 @query
 def stream_sessions(spark, sf_dir):
     out, state = new_dir(spark, "stream-sessions"), new_dir(spark, "stream-state")

@@ -38,3 +38,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """Hadoop's file system for a path, and the path as it wants it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it does not exist."""
+    files, where = _hadoop(spark, path)
+    if not files.exists(where):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(where) if s.isDirectory())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder and all below it, if it exists."""
+    files, where = _hadoop(spark, path)
+    files.delete(where, True)

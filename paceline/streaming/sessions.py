@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from paceline.operators.sessions import finish_sessions, merge_partials, session_partials
 from paceline.spec import DEFAULT_FUNNEL, FunnelSpec
+from paceline.streaming.keyed import BUCKETS, MAX_PARTS, KeyedTable
 
 LOG = "upto long"
 
@@ -60,3 +61,31 @@ def compact_partials(spark: SparkSession, path: str, upto: int, spec: FunnelSpec
 def streamed_sessions(spark: SparkSession, path: str, spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
     """Sessions with step times, as ``session_facts`` gives them over the same events."""
     return finish_sessions(merge_partials(_partials(spark, path), spec), spec)
+
+
+# -- by key ----------------------------------------------------------------------------
+
+
+def session_table(spark: SparkSession, path: str, *, buckets: int = BUCKETS, max_parts: int = MAX_PARTS,
+                  spec: FunnelSpec = DEFAULT_FUNNEL) -> KeyedTable:
+    """Mergeable session aggregates by session key: what a reader folds does not grow with batches."""
+    return KeyedTable(spark, path, spec.session_key, lambda df: merge_partials(df, spec), buckets=buckets, max_parts=max_parts)
+
+
+def keep_sessions(stg: DataFrame, out: str, checkpoint: str, *, every: str | None = "5 seconds", buckets: int = BUCKETS,
+                  max_parts: int = MAX_PARTS, spec: FunnelSpec = DEFAULT_FUNNEL) -> StreamingQuery:
+    """Keeps the session table at ``out`` up to date; late events reach the sessions they belong to."""
+    table = session_table(stg.sparkSession, out, buckets=buckets, max_parts=max_parts, spec=spec)
+
+    def fold(batch: DataFrame, number: int) -> None:
+        table.apply(number, session_partials(batch, spec, step_times=True))
+
+    writer = stg.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def kept_sessions(spark: SparkSession, path: str, spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame | None:
+    """Sessions with step times as of the last committed batch; None before the first."""
+    partials = session_table(spark, path, spec=spec).read()
+    return None if partials is None else finish_sessions(partials, spec)
