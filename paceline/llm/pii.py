@@ -7,6 +7,12 @@ permutes the set of values of that format, so that equal values get equal pseudo
 documents, different values different ones, and separators stay in place. The key holder can
 reverse it; without the key the original cannot be read off.
 
+A phone number is its country code and its national digits, however they are printed (after ``+``
+or ``00``, with blanks, dots, hyphens or brackets, or as a North American number without a code);
+the code stays and the national digits are permuted. Dates are days, with or without leading
+zeros. So one value has one pseudonym in all its spellings. Only ASCII digits make values; digits
+of other scripts are text.
+
 Defined results: null texts stay null and empty ones empty, both with no finding; values that
 do not validate are left alone; a slash date is read as day/month/year, or as month/day/year where
 only that is a date; where a run of digit groups is no card number, its parts between group
@@ -118,13 +124,16 @@ def _iban_check(country: str, account: str) -> str:
 
 
 def iban(text: str, key: bytes) -> str | None:
-    plain = text.replace(" ", "")
+    if text not in (text.upper(), text.lower()):
+        return None
+    plain = re.sub("[ -]", "", text).upper()
     country, check, account = plain[:2], plain[2:4], plain[4:]
     if not 11 <= len(account) <= 30 or _iban_check(country, account) != check:
         return None
     new = permute_chars(account, key, b"iban" + country.encode())
-    left = iter(country + _iban_check(country, new) + new)
-    return "".join(c if c == " " else next(left) for c in text)
+    whole = country + _iban_check(country, new) + new
+    left = iter(whole if text == text.upper() else whole.lower())
+    return "".join(c if c in " -" else next(left) for c in text)
 
 
 def ssn(text: str, key: bytes) -> str | None:
@@ -139,14 +148,34 @@ def ssn(text: str, key: bytes) -> str | None:
     return f"{area_at + 1 + (area_at >= 665):03d}-{group_at + 1:02d}-{serial_at + 1:04d}"
 
 
+#: Country codes of one and two digits; all others have three.
+COUNTRY_CODES = frozenset(
+    "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+    "81 82 84 86 90 91 92 93 94 95 98".split())
+
+
 def phone(text: str, key: bytes) -> str | None:
-    country = re.match(r"\+\d{1,3}(?!\d)", text)
-    head = country.group() if country else ""
-    rest = text[len(head):]
-    digits = re.sub(r"\D", "", rest)
-    if not 7 <= len(digits) <= 15 - (len(head) - 1 if head else 0):
+    prefix = re.match(r"\+|00|", text, re.ASCII).group()
+    digits = re.sub(r"\D", "", text[len(prefix):].replace("(0)", ""), flags=re.ASCII)
+    country = next((digits[:n] for n in (1, 2) if digits[:n] in COUNTRY_CODES), digits[:3]) if prefix else ""
+    national = digits[len(country):]
+    if not prefix:
+        country = "1"
+        if len(national) != 10 or national[0] in "01":
+            return None
+    if not 7 <= len(national) <= 15 - len(country) or prefix == "00" and len(digits) < 9:
         return None
-    return head + _refill(rest, permute_chars(digits, key, b"phone" + head.encode()))
+    new = permute_chars(national[1:], key, b"phone" + country.encode() + national[:1].encode())
+    new = iter((country if prefix else "") + national[0] + new)  # the first digit stays, so numbers stay dialled alike
+    out, at = [prefix], len(prefix)
+    while at < len(text):
+        if text.startswith("(0)", at):
+            out.append("(0)")
+            at += 3
+            continue
+        out.append(next(new) if text[at].isdigit() else text[at])
+        at += 1
+    return "".join(out)
 
 
 def ipv4(text: str, key: bytes) -> str | None:
@@ -185,7 +214,8 @@ def _dated(*orders: str):
         days = _DAYS[day.day > 12]
         at = permute(bisect_left(days, day.toordinal()), len(days), key, b"date")
         new = date.fromordinal(days[at])
-        shown = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
+        padded = min(len(n) for n in text.split(sep)) == 2
+        shown = {"y": f"{new.year:04d}", "m": f"{new.month:0{1 + padded}d}", "d": f"{new.day:0{1 + padded}d}"}
         return sep.join(shown[c] for c in order)
     return replace
 
@@ -197,21 +227,23 @@ def email(text: str, key: bytes) -> str | None:
 
 KINDS: tuple[tuple[str, str, Callable[[str, bytes], str | None]], ...] = (
     ("email", r"(?<![\w.+%-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", email),
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", iban),
+    ("iban", r"(?<![A-Za-z0-9])[A-Za-z]{2}\d{2}(?:[ -]?[A-Za-z0-9]{4}){2,7}(?:[ -]?[A-Za-z0-9]{1,3})?(?![A-Za-z0-9])", iban),
     ("date", r"(?<![\d.-])\d{4}-\d{2}-\d{2}(?![\d-])", _dated("ymd")),
-    ("date", r"(?<![\d.])\d{2}\.\d{2}\.\d{4}(?!\.?\d)", _dated("dmy")),
-    ("date", r"(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])", _dated("dmy", "mdy")),
+    ("date", r"(?<![\d.])\d{1,2}\.\d{1,2}\.\d{4}(?!\.?\d)", _dated("dmy")),
+    ("date", r"(?<![\d/])\d{1,2}/\d{1,2}/\d{4}(?![\d/])", _dated("dmy", "mdy")),
+    ("date", r"(?<![\d/])\d{4}/\d{2}/\d{2}(?![\d/])", _dated("ymd")),
     ("ipv4", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", ipv4),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", ssn),
-    ("card", r"(?<!\d)\d(?:[ -]?\d){12,}", card),
-    ("phone", r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)", phone),
+    ("card", r"(?<!\d)\d(?:[ .  -]?\d){12,}", card),
+    ("phone", r"(?:\+|(?<![\d.+-])00)[1-9]\d{0,2}[ .-]?(?:\(0\)[ .-]?)?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)", phone),
     ("phone", r"(?<![\d+(])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)", phone),
+    ("phone", r"(?<![\d+(])(?<!\d[ .-])[2-9]\d{2} \d{3} \d{4}(?![ .-]?\d)", phone),
 )
 KIND_NAMES = tuple(dict.fromkeys(name for name, _, _ in KINDS))
-_PATTERNS = [re.compile(p) for _, p, _ in KINDS]
+_PATTERNS = [re.compile(p, re.ASCII) for _, p, _ in KINDS]
 _IBAN = dict(zip(KIND_NAMES, _PATTERNS))["iban"]
-_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?=[ A-Z0-9])")
-_IBAN_END = re.compile(r"(?<=[A-Z0-9])(?![A-Za-z0-9])")
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{2}\d{2}(?=[ A-Za-z0-9-])", re.ASCII)
+_IBAN_END = re.compile(r"(?<=[A-Za-z0-9])(?![A-Za-z0-9])")
 _IBAN_LONGEST = 34 + 8  # with blanks
 #: Account number lengths by country; others are found too, after these.
 _IBAN_LENGTHS = {c: n for n, countries in {
@@ -231,8 +263,8 @@ def ibans(text: str, key: bytes) -> list[tuple[int, int, str]]:
         start = m.start()
         for e in _IBAN_END.finditer(text, start + 15, start + _IBAN_LONGEST + 1):
             if _IBAN.fullmatch(text, start, e.start()):
-                n = len(text[start:e.start()].replace(" ", ""))
-                spans.append((_IBAN_LENGTHS.get(text[start:start + 2]) != n, -n, start, e.start()))
+                n = len(re.sub("[ -]", "", text[start:e.start()]))
+                spans.append((_IBAN_LENGTHS.get(text[start:start + 2].upper()) != n, -n, start, e.start()))
     out: list[tuple[int, int, str]] = []
     for *_, start, end in sorted(spans):
         new = None if any(a < end and start < b for a, b, _ in out) else iban(text[start:end], key)
@@ -248,7 +280,7 @@ def cards(text: str, start: int, end: int, taken: list[tuple[int, int]], key: by
     card numbers are printed, then the longest.
     """
     stretches: list[list[tuple[int, int]]] = [[]]
-    for m in re.finditer(r"\d+", text[start:end]):
+    for m in re.finditer("[0-9]+", text[start:end]):
         group = (start + m.start(), start + m.end())
         if any(a < group[1] and group[0] < b for a, b in taken):
             stretches.append([])
@@ -265,7 +297,8 @@ def cards(text: str, start: int, end: int, taken: list[tuple[int, int]], key: by
                     break
                 if n >= 13:
                     whole, printed = j - i + 1 == len(groups), i == j or tuple(sizes[i:j + 1]) in _CARD_GROUPS
-                    spans.append((not whole, not printed, -n, i, j + 1))
+                    if printed or "." not in text[groups[i][0]:groups[j][1]]:  # dots also part thousands
+                        spans.append((not whole, not printed, -n, i, j + 1))
         free = [True] * len(groups)
         for *_, i, j in sorted(spans):
             if all(free[i:j]):

@@ -107,7 +107,8 @@ def op10_token_counts(spark, sf_dir):
 
 @query
 def op9_substrings(spark, sf_dir):
-    return substrings.deduplicate(read(spark, sf_dir, "documents")).drop("kept")
+    found = substrings.deduplicate(read(spark, sf_dir, "documents")).drop("kept")
+    return found.withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 @query
