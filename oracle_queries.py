@@ -8,6 +8,8 @@ tests are listed here on their own.
 
 from __future__ import annotations
 
+import re
+
 STEPS = ["view_homepage", "search_product", "view_product_details", "add_to_cart",
          "checkout_initiated", "purchase_completed"]
 
@@ -302,7 +304,9 @@ def _assertions() -> dict[tuple[str, str], str]:
 def _suite(tables: str, source: dict[str, str], assertions: bool = True) -> str:
     parts = [part for model in source for part in _rules(model, source[model])]
     if assertions:
-        parts += [f"SELECT '{name}' AS test, '{model}' AS model, '*' AS \"column\", {violations} AS failures, "
+        of = {MODELS[model]: cte for model, cte in source.items()}
+        parts += [f"SELECT '{name}' AS test, '{model}' AS model, '*' AS \"column\", "
+                  f"{re.sub(r'FROM ([a-z]+)', lambda m: 'FROM ' + of.get(m[1], m[1]), violations)} AS failures, "
                   f"count(*) AS rows_checked FROM {source[model]}"
                   for (name, model), violations in _assertions().items()]
     return f"WITH {tables} " + " UNION ALL ".join(parts)
@@ -313,6 +317,29 @@ def _dq_suite() -> str:
     return _suite(f"{ALL_TABLES}, {landed}", {**MODELS, "stg_events": "landed"})
 
 
+def _damaged_tables() -> str:
+    """Every table followed by copies of its rows: odd values, the same again, all columns empty."""
+    ctes = []
+    for model, cte in MODELS.items():
+        source = "landed" if model == "stg_events" else cte
+        odd = {c: 9 if values == [0, 1] else "'odd'" for c, values, *_ in RULES[model][2]}
+        again = {c: v for c, v in odd.items() if c == "grain"}
+        odd = {c: v for c, v in odd.items() if c not in ("grain", "has_checkout", "has_purchased")}
+        if cte == "dropoff":
+            odd["exit_percentage"] = "100e0"
+        if cte == "retention":
+            odd["newest_users"] = "cohort_size + 1"
+
+        def copy(new: dict) -> str:
+            shown = ", ".join(f"{v} AS {c}" for c, v in new.items())
+            return f"SELECT * {f'REPLACE ({shown})' if new else ''} FROM {source}"
+
+        ctes.append(f"bad_{cte} AS ({copy({})} UNION ALL {copy(odd)} UNION ALL {copy(again)} UNION ALL "
+                    f"SELECT empty.* FROM {source} s LEFT JOIN {source} empty ON false)")
+    landed = "landed AS (SELECT *, now() AS ingested_at FROM stg)"
+    return _suite(", ".join([ALL_TABLES, landed, *ctes]), {m: f"bad_{cte}" for m, cte in MODELS.items()})
+
+
 # Staged events followed by damaged copies of them: see the query of the same name.
 DAMAGED = EVENTS + """,
 damaged AS (
@@ -725,6 +752,7 @@ def oracle() -> dict[str, str]:
         "published_tables": f"WITH {ALL_TABLES} {dim_counts}",
         "dq_suite": _dq_suite(),
         "dq_damaged_events": _suite(DAMAGED, {"stg_events": "damaged"}, assertions=False),
+        "dq_damaged_tables": _damaged_tables(),
         "event_order_check": order_check,
         "user_attribute_check": attribute_check,
         "repeated_step_check": RAW_SESSIONS,

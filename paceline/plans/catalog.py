@@ -264,6 +264,26 @@ def dq_damaged_events(spark, sf_dir):
     return quality.run_suite({"stg_events": whole})
 
 
+@query
+def dq_damaged_tables(spark, sf_dir):
+    """All data tests over all tables, each followed by damaged copies of its rows: values outside
+    their domain, whole segments leaving, more active users than a cohort has, the same rows
+    again, and rows without any value. Every rule that can find rows finds some."""
+    tables = build_tables(events(spark, sf_dir), new_dir(spark, "tables"))
+    rules = quality.declared_rules()
+    wrong = {"exit_percentage": F.lit(100.0), "newest_users": F.col("cohort_size") + 1}
+    damaged = {}
+    for model, df in tables.items():
+        odd = {r.columns[0]: F.lit(9 if 0 in r.values else "odd") for r in rules if r.model == model and r.kind == "accepted_values"}
+        again = {c: v for c, v in odd.items() if c == "grain"}
+        flags = [c for c, kind in df.dtypes if kind == "boolean"]
+        odd = {c: v for c, v in {**odd, **wrong}.items() if c in df.columns and c not in (*again, *flags)}
+        copies = [df.select(*[new.get(c, F.col(c)).cast(kind).alias(c) for c, kind in df.dtypes]) for new in (odd, again)]
+        empty = df.select(*[F.lit(None).cast(kind).alias(c) for c, kind in df.dtypes])
+        damaged[model] = written(df.unionByName(copies[0]).unionByName(copies[1]).unionByName(empty), "damaged")
+    return quality.run_suite(damaged)
+
+
 @query
 def event_order_check(spark, sf_dir):
     return quality.event_order_flags(events(spark, sf_dir)).agg(
