@@ -22,8 +22,8 @@ FEATURES = ["days_since_signup", "max_funnel_depth", "bounce_rate", "total_sessi
 SILHOUETTE_SAMPLE = 10_000
 # Fixed value: the most iterations of one fit; fits stop earlier when centres settle.
 MAX_ITERATIONS = 300
-# Starting centres are drawn from at most this many users; the fits run over all.
-SEED_ROWS = 10_000
+# Rounds in which starting centres are drawn from all users, and rows drawn per round and cluster.
+SEED_ROUNDS, SEED_FACTOR = 3, 2.0
 _BLOCK = 512
 
 
@@ -145,16 +145,74 @@ def silhouette_all(df: DataFrame, vector: str, labels: Sequence[str]) -> DataFra
     return df.sparkSession.createDataFrame(rows, "labelling string, silhouette double")
 
 
-def _seeds(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ centres: each next one drawn by its squared distance to those before."""
-    chosen = [points[rng.integers(len(points))]]
-    nearest = ((points - chosen[0]) ** 2).sum(axis=1)
-    while len(chosen) < k:
-        total = nearest.sum()
-        pick = rng.choice(len(points), p=nearest / total) if total > 0 else rng.integers(len(points))
-        chosen.append(points[pick])
-        nearest = np.minimum(nearest, ((points - chosen[-1]) ** 2).sum(axis=1))
-    return np.array(chosen)
+def _seeds(points: np.ndarray, weights: np.ndarray, k: int, rng: np.random.Generator, tries: int = 8,
+           rounds: int = 20) -> np.ndarray:
+    """``k`` centres of few weighted points: the cheapest of some k-means++ draws with weighted Lloyd rounds."""
+    def gaps(centres):
+        return ((points[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+
+    best, least = None, np.inf
+    for _ in range(tries):
+        centres = points[[rng.choice(len(points), p=weights / weights.sum())]]
+        while len(centres) < k:
+            mass = gaps(centres).min(axis=1) * weights
+            pick = rng.choice(len(points), p=mass / mass.sum()) if mass.sum() > 0 else rng.integers(len(points))
+            centres = np.concatenate([centres, points[[pick]]])
+        for _ in range(rounds):
+            own = gaps(centres).argmin(axis=1)
+            mass = np.bincount(own, weights=weights, minlength=k)[:, None]
+            sums = np.stack([np.bincount(own, weights=weights * x, minlength=k) for x in points.T], axis=1)
+            centres = np.where(mass > 0, sums / np.maximum(mass, 1e-300), centres)
+        cost = float((gaps(centres).min(axis=1) * weights).sum())
+        if cost < least:
+            best, least = centres, cost
+    return best
+
+
+def _drawn(vectors: DataFrame, id_col: str, cols: Sequence[str], centres: dict[int, np.ndarray], rate: dict[int, float],
+           salt: int) -> pd.DataFrame:
+    """For each fit the rows drawn with chance rate x squared distance to its centres; the draw hangs on the id."""
+    cols = list(cols)
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = batch[cols].to_numpy(dtype=np.float64)
+            h = batch["_h"].to_numpy().view(np.uint64)
+            square = (x * x).sum(axis=1)
+            for f, c in centres.items():
+                with np.errstate(over="ignore"):
+                    u = (h ^ np.uint64(0x9E3779B97F4A7C15) * np.uint64(1 + f)) * np.uint64(0xBF58476D1CE4E5B9)
+                    u = (u ^ (u >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+                gap = np.maximum((square[:, None] - 2.0 * x @ c.T + (c * c).sum(axis=1)).min(axis=1), 0.0)
+                at = np.flatnonzero((u >> np.uint64(11)) * 2.0 ** -53 < rate[f] * gap)
+                if len(at):
+                    yield pd.DataFrame({"fit": f, **{name: x[at, j] for j, name in enumerate(cols)}})
+
+    rows = vectors.select(F.xxhash64(F.lit(salt), id_col).alias("_h"), *cols)
+    return rows.mapInPandas(draw, "fit int, " + ", ".join(f"`{c}` double" for c in cols)).toPandas()
+
+
+def parallel_seeds(vectors: DataFrame, id_col: str, cols: Sequence[str], size: dict[int, int], seed: int, *,
+                   rounds: int = SEED_ROUNDS, factor: float = SEED_FACTOR) -> dict[int, np.ndarray]:
+    """Starting centres of all fits (``size``: clusters of each) by oversampling over every row.
+
+    Each round draws some ``factor`` x clusters rows for a fit, far ones likelier; the rows drawn
+    are weighed by the rows nearest to them and reduced to as many centres as the fit has
+    clusters. All fits share the passes; the driver gets the rows drawn, some dozens a fit.
+    """
+    first = hash_sample(vectors.select(id_col, *cols), id_col, len(size)).toPandas()[list(cols)].to_numpy(dtype=np.float64)
+    if not len(first):
+        return {}
+    drawn = {f: first[f % len(first)][None, :] for f in size}
+    for r in range(rounds):
+        cost = _cluster_sums(vectors, cols, drawn).groupby("fit")["cost"].sum()
+        rate = {f: factor * size[f] / cost[f] if cost[f] > 0 else 0.0 for f in size}
+        got = _drawn(vectors, id_col, cols, drawn, rate, seed * 1000 + r)
+        for f, rows in got.groupby("fit"):
+            drawn[f] = np.concatenate([drawn[f], np.unique(rows[list(cols)].to_numpy(dtype=np.float64), axis=0)])
+    weights = _cluster_sums(vectors, cols, drawn).set_index(["fit", "cluster"])["n"]
+    return {f: _seeds(points, np.maximum(weights.loc[f].sort_index().to_numpy(), 1e-9), size[f], np.random.default_rng([seed, f]))
+            for f, points in drawn.items()}
 
 
 def _cluster_sums(vectors: DataFrame, cols: Sequence[str], centres: dict[int, np.ndarray]) -> pd.DataFrame:
@@ -188,20 +246,18 @@ def _cluster_sums(vectors: DataFrame, cols: Sequence[str], centres: dict[int, np
 
 
 def kmeans_fits(vectors: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int], restarts: int, seed: int,
-                *, max_iterations: int = MAX_ITERATIONS, tolerance: float = 1e-4,
-                seed_rows: int = SEED_ROWS) -> dict[int, tuple[float, np.ndarray, bool]]:
+                *, max_iterations: int = MAX_ITERATIONS,
+                tolerance: float = 1e-4) -> dict[int, tuple[float, np.ndarray, bool]]:
     """Per k the cheapest of ``restarts`` fits: ``(cost, centres, settled)``.
 
     All fits advance together, one pass over ``vectors`` per iteration; each leaves when no
-    centre moves by more than ``tolerance``. Every row takes part in every iteration; only
-    the starting centres are drawn from a hash sample of ``seed_rows`` rows. No row, no fit.
+    centre moves by more than ``tolerance``. Every row takes part in drawing the starting centres
+    and in every iteration. No row, no fit.
     """
-    sample = hash_sample(vectors.select(id_col, *cols), id_col, seed_rows).toPandas()
-    points = sample[list(cols)].to_numpy(dtype=np.float64)
-    if not len(points):
-        return {}
     size = {i * restarts + r: k for i, k in enumerate(ks) for r in range(restarts)}
-    centres = {f: _seeds(points, k, np.random.default_rng([seed, f])) for f, k in size.items()}
+    centres = parallel_seeds(vectors, id_col, cols, size, seed)
+    if not centres:
+        return {}
     moving = set(size)
     for _ in range(max_iterations):
         if not moving:

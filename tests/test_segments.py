@@ -80,6 +80,19 @@ def test_fits_settle_on_the_means_of_their_members(spark):
         assert gaps[r["k3"]] == pytest.approx(gaps.min())
 
 
+def test_seeds_are_drawn_from_all_rows_and_repeat(spark):
+    rng = np.random.default_rng(9)
+    far = np.array([[0.0, 0.0], [50.0, 0.0], [0.0, 50.0], [50.0, 50.0]])
+    data = [(f"u{i}", *map(float, far[0] + rng.normal(size=2))) for i in range(1000)]
+    data += [(f"v{j}", *map(float, far[j] + rng.normal(size=2))) for j in (1, 2, 3)]  # three rows of a thousand
+    df = spark.createDataFrame(data, "user_id string, a double, b double")
+    seeds = segments.parallel_seeds(df.repartition(4), "user_id", ["a", "b"], {f: 4 for f in range(6)}, 42)
+    found = [all(((s - c) ** 2).sum(axis=1).min() < 30 for c in far) for s in seeds.values()]
+    assert sum(found) >= 5
+    again = segments.parallel_seeds(df.repartition(2), "user_id", ["a", "b"], {f: 4 for f in range(6)}, 42)
+    assert all(np.allclose(seeds[f], again[f], atol=1e-6) for f in seeds)
+
+
 def test_sweep_over_no_users_and_more_clusters_than_users(spark):
     none = spark.createDataFrame([], "user_id string, a double")
     scores, labelled = segments.kmeans_sweep(none, "user_id", ["a"], ks=(2, 3), restarts=2)
