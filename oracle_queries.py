@@ -726,6 +726,10 @@ def oracle() -> dict[str, str]:
             UNION ALL SELECT 'array', arg_min(event_id, n), arg_min(t, n), count(*)
             FROM numbered_events WHERE n % 3 = 2 GROUP BY n // 50
             UNION ALL SELECT 'odd', NULL, NULL, 0 FROM numbered_events WHERE n % 101 = 0""",
+        "landing_days": f"{staged} WHERE event_timestamp >= DATE '2024-01-05' AND event_timestamp < DATE '2024-01-07'",
+        "landing_by_name": f"{staged} WHERE event_timestamp >= DATE '2024-01-09' AND event_timestamp < DATE '2024-01-13'",
+        "stream_flush_counts": """SELECT CAST(2 AS BIGINT) AS runs, count(*) AS landed_rows,
+            CAST(1 AS BIGINT) AS failed_flushes, true AS every_batch_counted FROM events""",
         "landing_counts": f"""WITH {EVENTS} SELECT count(*) AS landed_rows, count(*) AS parsed_rows,
             count(*) AS rows_with_id, true AS loaded FROM stg""",
         "json_props": "SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events",

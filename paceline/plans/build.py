@@ -8,13 +8,14 @@ from __future__ import annotations
 import argparse
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paceline.operators import experiment, marts, quality, sessions as ses
 from paceline.operators.staging import dedup_events, stg_events
 from paceline.session import get_session, require_utc, size_shuffles
-from paceline.sources.landing import read_landing
+from paceline.sources.landing import landing_table, read_landing, read_landing_days, read_mixed
 from paceline.spec import DEFAULT_EXPERIMENT, DEFAULT_FUNNEL, ExperimentSpec, FunnelSpec
 
 
@@ -102,13 +103,29 @@ def evaluate(tables: Mapping[str, DataFrame], out: str, exp: ExperimentSpec = DE
     }
 
 
+def job_input(spark: SparkSession, src: str, *, table: bool = False, mixed: bool = False, first: date | None = None,
+              last: date | None = None) -> DataFrame:
+    """Landing rows of a JSON folder or, with ``table``, of a catalog table, of some days if given.
+
+    ``mixed`` reads files of any JSON layout instead of a value a line.
+    """
+    if table:
+        return landing_table(spark, src, first, last)
+    if first or last:
+        if not (first and last) or mixed:
+            raise ValueError("a folder is read by lines and from a first to a last day")
+        return read_landing_days(spark, src, first, last)
+    return read_mixed(spark, src) if mixed else read_landing(spark, src)
+
+
 def run_job(spark: SparkSession, src: str, out: str, *, dedup: bool = False,
             fail_on_violation: bool = True, spec: FunnelSpec = DEFAULT_FUNNEL,
-            exp: ExperimentSpec = DEFAULT_EXPERIMENT) -> dict[str, DataFrame]:
-    """Ingest, build, test, evaluate. ``dedup`` drops events landed twice."""
+            exp: ExperimentSpec = DEFAULT_EXPERIMENT, **source) -> dict[str, DataFrame]:
+    """Ingest, build, test, evaluate. ``dedup`` drops events landed twice; ``source`` as in ``job_input``."""
     require_utc(spark)
-    size_shuffles(spark, src)
-    staged = stg_events(read_landing(spark, src), spec)
+    if not source.get("table"):
+        size_shuffles(spark, src)
+    staged = stg_events(job_input(spark, src, **source), spec)
     tables = build_tables(dedup_events(staged, spec) if dedup else staged, out, spec)
     if fail_on_violation:
         report = check_tables(tables, out, spec)
@@ -119,13 +136,18 @@ def run_job(spark: SparkSession, src: str, out: str, *, dedup: bool = False,
 
 def main() -> None:
     args = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    args.add_argument("--src", required=True)
+    args.add_argument("--src", required=True, help="folder of JSON files, or a catalog table with --table")
     args.add_argument("--out", required=True)
+    args.add_argument("--table", action="store_true")
+    args.add_argument("--mixed", action="store_true", help="files of any JSON layout")
+    args.add_argument("--first", type=date.fromisoformat, help="first day to load")
+    args.add_argument("--last", type=date.fromisoformat, help="last day to load")
     args.add_argument("--dedup", action="store_true")
     args.add_argument("--keep-going", action="store_true", help="evaluate even if a data test fails")
     given = args.parse_args()
     results = run_job(get_session("paceline-build"), given.src, given.out, dedup=given.dedup,
-                      fail_on_violation=not given.keep_going)
+                      fail_on_violation=not given.keep_going, table=given.table, mixed=given.mixed,
+                      first=given.first, last=given.last)
     for name in ("fct_ab_test_summary", "srm_check", "covariate_balance", "hte_logit"):
         results[name].show(truncate=False)
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paceline.operators import experiment, marts, population, quality, segments, survival
@@ -17,7 +19,7 @@ from paceline.sources import landing as land
 from paceline.sources.adapter import GAP_HOURS, funnel_events
 from paceline.sources.scratch import new_dir, written
 from paceline.spec import DEFAULT_EXPERIMENT, DEFAULT_FUNNEL as SPEC, FunnelSpec
-from paceline.streaming import dedup as sdedup, ingest, retention as sretention, sessions as ssessions
+from paceline.streaming import counts as scounts, dedup as sdedup, ingest, retention as sretention, sessions as ssessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,6 +131,24 @@ def mixed_scan(spark, sf_dir):
         F.coalesce(size, F.col("raw_payload").isNotNull().cast("int")).cast("long").alias("items"))
 
 
+@query
+def landing_days(spark, sf_dir):
+    """Two days of the landing, from their date folders alone."""
+    rows = land.read_landing_days(spark, landed(spark, sf_dir), date(2024, 1, 5), date(2024, 1, 6))
+    return typed(stg_events(rows))
+
+
+@query
+def landing_by_name(spark, sf_dir):
+    """A landing table bound by its catalog name, one month day of its partitions."""
+    name = f"landing_{new_dir(spark, 'landing').rsplit('-', 1)[1]}"
+    body = land.with_date_folders(land.payload(events(spark, sf_dir), EXPERIMENT_ID))
+    text = F.to_json(F.struct(*[c for c in body.columns if c not in land.DATE_FOLDERS])).alias("value")
+    (body.select(text, *land.DATE_FOLDERS).write.partitionBy(*land.DATE_FOLDERS)
+     .option("path", new_dir(spark, "landing-table")).saveAsTable(name))
+    return typed(stg_events(land.landing_table(spark, name, date(2024, 1, 9), date(2024, 1, 12))))
+
+
 @query
 def landing_counts(spark, sf_dir):
     counts = land.landing_counts(land.read_landing(spark, landed(spark, sf_dir)))
@@ -496,6 +516,38 @@ def stream_ingest(spark, sf_dir):
     return typed(stg_events(spark.read.parquet(out)))
 
 
+@query
+def stream_flush_counts(spark, sf_dir):
+    """Counts kept by a listener over two runs: one ends in a failing batch, the next lands it."""
+    out, state, kept = (new_dir(spark, n) for n in ("flushed", "stream-state", "flush-counts"))
+    rows = stg_events(ingest.stream_landing(ingest.stream_files(spark, landed(spark, sf_dir), max_files=8)))
+    failed = []
+
+    def flush(batch: DataFrame, number: int) -> None:
+        if number == 2 and not failed:
+            failed.append(number)
+            raise RuntimeError("a flush that fails once")
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    listener = scounts.FlushCounts(spark, kept)
+    spark.streams.addListener(listener)
+    try:
+        for _ in range(2):
+            writer = rows.writeStream.foreachBatch(flush).option("checkpointLocation", state)
+            running = writer.trigger(availableNow=True).start()
+            try:
+                running.awaitTermination()
+            except StreamingQueryException:
+                pass
+            listener.wait(running)
+    finally:
+        spark.streams.removeListener(listener)
+    flushed = spark.read.parquet(out)
+    return scounts.flush_counts(spark, kept).select(
+        "runs", F.col("rows").alias("landed_rows"), F.col("failures").alias("failed_flushes"),
+        (F.col("batches") == flushed.select(F.count_distinct("batch")).scalar()).alias("every_batch_counted"))
+
+
 @query
 def stream_ndjson(spark, sf_dir):
     """Events back out to dated JSON files by a stream, then read in bulk."""

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paceline.sources.json_values import SPLIT_BYTES, read_values
+from paceline.sources.scratch import exists
 from paceline.spec import DEFAULT_FUNNEL, FunnelSpec
 
 # Compressed landing files keep the suffix Spark adds.
@@ -54,6 +56,42 @@ def read_landing(spark: SparkSession, path: str | Sequence[str], *, multiline: b
     )
 
 
+def dated_folders(spark: SparkSession, path: str, first: date, last: date) -> list[str]:
+    """The date folders of the days from ``first`` to ``last`` that exist below ``path``.
+
+    Each day's folder is looked up by its name: folders of other days are not listed, however
+    many there are.
+    """
+    days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
+    folders = [f"{path}/year={d:%Y}/month={d:%m}/day={d:%d}" for d in days]
+    return [f for f in folders if exists(spark, f)]
+
+
+def read_landing_days(spark: SparkSession, path: str, first: date, last: date, *, strict: bool = False) -> DataFrame:
+    """``read_landing`` of the events of some days, from the folders ``write_ndjson`` makes."""
+    folders = dated_folders(spark, path, first, last)
+    if not folders:
+        return spark.createDataFrame([], "raw_payload variant, ingested_at timestamp_ntz")
+    return read_landing(spark, folders, strict=strict)
+
+
+def landing_table(spark: SparkSession, name: str, first: date | None = None, last: date | None = None, *,
+                  text: str = "value", strict: bool = False) -> DataFrame:
+    """Landing rows of a catalog table: one with a ``raw_payload`` VARIANT, or with JSON text in ``text``.
+
+    ``first`` and ``last`` limit a table partitioned by year, month and day to these days; only
+    their partitions are read.
+    """
+    rows = spark.table(name)
+    if first or last:
+        year, month, day = (F.col(c).cast("int") for c in DATE_FOLDERS)
+        number = year * 10000 + month * 100 + day
+        rows = rows.where(number.between(int(f"{first or date.min:%Y%m%d}"), int(f"{last or date.max:%Y%m%d}")))
+    loaded = F.col("ingested_at") if "ingested_at" in rows.columns else F.current_timestamp().cast("timestamp_ntz")
+    payload_ = F.col("raw_payload") if "raw_payload" in rows.columns else landing_row(F.col(text).cast("string"), strict=strict)
+    return rows.select(payload_.alias("raw_payload"), loaded.alias("ingested_at"))
+
+
 def list_files(spark: SparkSession, path: str | Sequence[str], files: str = JSON_FILES) -> DataFrame:
     """Every landed file below ``path``; only names and sizes are read, not contents."""
     return (

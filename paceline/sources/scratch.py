@@ -58,3 +58,16 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder and all below it, if it exists."""
     files, where = _hadoop(spark, path)
     files.delete(where, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _hadoop(spark, path)
+    return files.exists(where)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes (or overwrites) a small file."""
+    files, where = _hadoop(spark, path)
+    out = files.create(where, True)
+    out.write(bytearray(text.encode()))
+    out.close()
