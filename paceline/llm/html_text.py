@@ -16,6 +16,7 @@ their own end tag or the end of the page; ``<br>`` is white space; repeated rows
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -144,9 +145,14 @@ def trained_tree() -> Node:
 
 @dataclass
 class Part:
-    """An element that is another part of the page, and how sure that is; ``articles`` in it."""
+    """An element that is another part of the page inside ``outer``, how sure that is, and ``articles`` in it.
+
+    ``sure`` becomes that of the surest part around once the page is read.
+    """
 
     sure: float
+    outer: Part | None = None
+    named: bool = False
     articles: int = 0
 
 
@@ -156,7 +162,7 @@ class Block:
     words: int
     linked: int
     article: bool
-    parts: tuple[Part, ...]
+    part: Part | None
 
     @property
     def density(self) -> float:
@@ -164,7 +170,7 @@ class Block:
 
     @property
     def boiler(self) -> float:
-        return max((p.sure for p in self.parts), default=0.0)
+        return self.part.sure if self.part else 0.0
 
 
 def _named(attributes: str) -> tuple[bool, float]:
@@ -200,20 +206,26 @@ def _part(name: str, attributes: str, in_article: bool) -> tuple[bool, float]:
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order; parts of one paragraph in inline markup stay together."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, tuple[Part, ...]]] = []  # open elements: name, inside article, other parts around
-    named: list[Part] = []  # by name only
+    stack: list[tuple[str, bool, Part | None]] = []  # open elements: name, inside article, other part around
+    opened_by: Counter[str] = Counter()  # open elements by name
+    parts: list[Part] = []  # outer ones first
     pieces: list[tuple[str, bool]] = []
     article = link = False
-    parts: tuple[Part, ...] = ()
+    part: Part | None = None
     at = 0
 
+    def leave() -> str:
+        name = stack.pop()[0]
+        opened_by[name] -= 1
+        return name
+
     def flush():
         if pieces:
             text = " ".join(unescape("".join(p for p, _ in pieces)).split())
             if text:
                 linked = sum(len(p.split()) for p, in_link in pieces if in_link)
                 words = text.count(" ") + 1
-                out.append(Block(text, words, min(linked, words), article, parts))
+                out.append(Block(text, words, min(linked, words), article, part))
             pieces.clear()
 
     while True:
@@ -249,35 +261,39 @@ def blocks(page: str) -> list[Block]:
                 continue
             if name in FLOWING:  # their end tags may be missing: a new one ends the last
                 while stack and stack[-1][0] in FLOWING:
-                    stack.pop()
-                article, parts = stack[-1][1:] if stack else (False, ())
+                    leave()
+                article, part = stack[-1][1:] if stack else (False, None)
             link = link and name == "a"
             starts, other = _part(name, attributes, article)
             if name in ("article", "main") and not (attributes and _named(attributes)[1]):
-                for part in parts:
+                if part:
                     part.articles += 1 if name == "article" else -len(page)
             if other:
-                parts = (*parts, Part(other))
-                if other < SURE:
-                    named.append(parts[-1])
+                part = Part(other, part, other < SURE)
+                parts.append(part)
             article = article or starts
-            stack.append((name, article, parts))
+            stack.append((name, article, part))
+            opened_by[name] += 1
         elif closed:
             name = closed.lower()
             if name == "a":
                 link = False
-            if any(s[0] == name for s in stack):
+            if opened_by[name]:
                 if not (name in INLINE and stack[-1][0] != name):
                     flush()
-                    while stack.pop()[0] != name:
+                    while leave() != name:
                         pass
-                    article, parts = stack[-1][1:] if stack else (False, ())
+                    article, part = stack[-1][1:] if stack else (False, None)
             elif name not in INLINE:
                 flush()
     flush()
-    for part in named:  # what holds the main element or the page's one article is none
-        if part.articles == 1 or part.articles < 0:
-            part.sure = 0.0
+    for inner in reversed(parts):
+        if inner.outer:
+            inner.outer.articles += inner.articles
+    for p in parts:
+        if p.named and (p.articles == 1 or p.articles < 0):
+            p.sure = 0.0  # what holds the main element or the page's one article is no other part
+        p.sure = max(p.sure, p.outer.sure if p.outer else 0.0)
     return out
 
 
@@ -289,6 +305,8 @@ def main_text(page: str, tree: Node) -> str:
         after = (found[k + 1].words, found[k + 1].density) if k + 1 < len(found) else (0, 0.0)
         if decide(tree, (b.words, b.density, *before, *after, int(b.article), b.boiler)):
             kept.append(b.text)
+    if not kept:  # a few short words that stand in no other part are what the page has to say
+        kept = [b.text for b in found if not b.boiler and b.density < 0.5]
     return "\n".join(kept)
 
 

@@ -22,6 +22,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paceline.llm import common
+from paceline.sources.scratch import written
 
 #: Fixed value: how the byte-level tokenizer cuts texts before merging.
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -100,33 +101,40 @@ class TokenRollup:
         attempt = uuid.uuid4().hex
         sums = signed.groupBy(*GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         (sums.select(F.lit(batch).alias("batch"), F.lit(attempt).alias("attempt"), *GROUP, "docs", "tokens")
-         .coalesce(1).write.mode("append").parquet(f"{self.path}/deltas"))
+         .repartition(1).write.mode("append").parquet(f"{self.path}/deltas"))  # one file; the sums are made before
         return attempt
 
     def _commit(self, batch: str, attempt: str, covers: list[str]) -> None:
         (self.spark.createDataFrame([(batch, attempt, covers)], _COMMITS)
          .coalesce(1).write.mode("append").parquet(f"{self.path}/commits"))
 
-    def _counting(self) -> DataFrame:
+    @staticmethod
+    def _counting(commits: DataFrame) -> DataFrame:
         """The one attempt of each batch that counts: the first by name, and none that is covered."""
-        commits = self._table("commits", _COMMITS)
         first = commits.groupBy("batch").agg(F.min_by("covers", "attempt").alias("covers"), F.min("attempt").alias("attempt"))
         covered = first.select(F.explode("covers").alias("batch")).distinct()
         return first.select("batch", "attempt").join(covered, "batch", "left_anti")
 
     def totals(self) -> DataFrame:
         """``source, lang, tokenizer, docs, tokens`` of all committed batches."""
-        counting = self._counting()  # one row for each batch since the last compaction
+        return self._totals(self._table("commits", _COMMITS))
+
+    def _totals(self, commits: DataFrame) -> DataFrame:
+        counting = self._counting(commits)  # one row for each batch since the last compaction
         return (self._table("deltas", _DELTAS).join(counting, ["batch", "attempt"], "left_semi")
                 .groupBy(*GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
                 .where("docs <> 0 OR tokens <> 0"))
 
     def compact(self) -> None:
-        """Folds all committed batches into one; replays of any of them stay without effect."""
-        commits = self._table("commits", _COMMITS)
+        """Folds all committed batches into one; replays of any of them stay without effect.
+
+        The batches that are folded and those that are named come from one read of the commits:
+        a batch committed meanwhile is in neither.
+        """
+        commits = written(self._table("commits", _COMMITS), "commits")
         names = [r[0] for r in commits.select(F.explode(F.concat(F.array("batch"), "covers"))).distinct().collect()]
         batch = f"compacted-{uuid.uuid4().hex}"
-        self._commit(batch, self._write(batch, self.totals()), sorted(names))
+        self._commit(batch, self._write(batch, self._totals(commits)), sorted(names))
 
 
 def copies_to_delete(counts: DataFrame) -> DataFrame:
