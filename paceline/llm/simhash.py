@@ -149,6 +149,8 @@ class AnchorCode:
 # -- comparison at the anchors -------------------------------------------------------------
 
 DIRECT = 48  # larger groups are linked through shared neighbours
+CROWD = 100_000  # still larger ones by Spark, a row for each neighbour
+BROADCAST_ROWS = 1_000_000  # of crowded anchors, 8 bytes each
 
 
 def _links_direct(group: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,18 +166,29 @@ def _links_direct(group: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.
     return np.concatenate([empty, *left]), np.concatenate([empty, *right])
 
 
+def _masks(weight: int) -> list[int]:
+    """All values of 64 bits with ``weight`` ones."""
+    return [sum(1 << b for b in bits) for bits in combinations(range(64), weight)]
+
+
+def _reach(max_bits: int) -> tuple[list[int], list[int]]:
+    """Changes to a near neighbour, and those to a far one: two values are at most ``max_bits``
+    apart if and only if a value is a near neighbour of one and a near or far one of the other."""
+    near = [m for w in range(max_bits // 2 + 1) for m in _masks(w)]
+    return near, _masks(max_bits // 2 + 1) if max_bits % 2 else []
+
+
 def _links_shared(fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect exactly the values at most ``max_bits`` apart, through neighbours."""
-    masks = [np.uint64(0)]
-    for weight in range(1, (max_bits + 1) // 2 + 1):
-        masks += [np.uint64(sum(1 << b for b in bits)) for bits in combinations(range(64), weight)]
-    if max_bits % 2:  # a neighbour within k of one and k - 1 of the other, not exact by itself
-        raise ValueError("an odd max_bits needs direct comparison")
-    value = (fp[:, None] ^ np.array(masks)).ravel()
-    owner = np.repeat(np.arange(len(fp)), len(masks))
-    order = np.argsort(value, kind="stable")
-    same = np.flatnonzero(value[order][1:] == value[order][:-1])
-    return owner[order][same], owner[order][same + 1]
+    near, far = _reach(max_bits)
+    value = (fp[:, None] ^ np.array([*near, *far], dtype=np.uint64)).ravel()
+    away = np.tile(np.arange(len(near) + len(far)) >= len(near), len(fp))
+    owner = np.repeat(np.arange(len(fp)), len(near) + len(far))
+    order = np.lexsort((away, value))
+    first = np.flatnonzero(np.concatenate([[True], value[order][1:] != value[order][:-1]]))
+    head = np.repeat(first, np.diff(np.append(first, len(order))))  # a near neighbour, if the value has one
+    linked = np.flatnonzero((head != np.arange(len(order))) & ~away[order][head])
+    return owner[order][head[linked]], owner[order][linked]
 
 
 def _least_linked(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -199,11 +212,9 @@ def stars(anchor: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray
     fp = fp.view(np.uint64)
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     size = np.diff(np.concatenate([first, [len(anchor)]]))
-    direct = (size <= DIRECT) | bool(max_bits % 2)
+    direct = size <= DIRECT
     few = np.flatnonzero(np.repeat(direct & (size > 1), size))
     out = []
-    if max_bits % 2 and size.max(initial=0) > DIRECT:
-        raise ValueError("an odd max_bits supports groups of up to %d values only" % DIRECT)
     left, right = _links_direct(anchor[few], fp[few], max_bits)
     out.append((few, left, right))
     for k in np.flatnonzero(~direct):
@@ -220,8 +231,26 @@ def stars(anchor: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray
     return (np.concatenate([empty, *values]).view(np.int64), np.concatenate([empty, *leasts]).view(np.int64))
 
 
-def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Links (``u``, ``v``) that connect the distinct ``fp`` at most ``max_bits`` apart."""
+def _crowd_links(crowds: DataFrame, max_bits: int) -> DataFrame:
+    """The links of :func:`stars` for anchors with very many values, spread over tasks.
+
+    Every value sends a row to each of its neighbours; the values that meet at one are at most
+    as many as its neighbours, and link to the least near one.
+    """
+    signed = lambda m: F.lit(m - (1 << 64) if m >> 63 else m).cast("long")
+    near, far = ([F.col("fp").bitwiseXOR(signed(m)) for m in masks] for masks in _reach(max_bits))
+    sent = [F.struct(v.alias("value"), F.lit(k).alias("away")) for k, values in enumerate((near, far)) for v in values]
+    met = crowds.select("anchor", "fp", F.explode(F.array(*sent)).alias("at"))
+    met = met.groupBy("anchor", "at.value").agg(F.collect_list("fp").alias("all"), F.min(F.when(F.col("at.away") == 0, F.col("fp"))).alias("v"))
+    return met.where("v IS NOT NULL AND size(all) > 1").select(F.explode("all").alias("u"), "v").where("u <> v").distinct()
+
+
+def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS, crowd: int = CROWD) -> DataFrame:
+    """Links (``u``, ``v``) that connect the distinct ``fp`` at most ``max_bits`` apart.
+
+    Anchors with more than ``crowd`` values are linked by Spark rows instead of in one task, with the
+    same components.
+    """
     code_of = prints.sparkSession.sparkContext.broadcast(AnchorCode(max_bits))  # 2**11 rows of patterns
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,10 +278,15 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         u, v = stars(anchor, fp, max_bits)
         return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
-    return (prints.select("fp").where("fp IS NOT NULL").distinct()
-            .mapInArrow(spread, "anchor long, fp long")
-            .repartition("anchor").sortWithinPartitions("anchor")
-            .mapInArrow(compare, "u long, v long"))
+    replicas = written(prints.select("fp").where("fp IS NOT NULL").distinct().mapInArrow(spread, "anchor long, fp long"), "replicas")
+    crowded = written(replicas.groupBy("anchor").count().where(F.col("count") > crowd).select("anchor"), "crowds")
+    n = crowded.count()
+    some = replicas
+    if n:
+        few = F.broadcast(crowded) if n <= BROADCAST_ROWS else crowded
+        some = replicas.join(few, "anchor", "left_anti")
+    links = some.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(compare, "u long, v long")
+    return links.union(_crowd_links(replicas.join(few, "anchor", "left_semi"), max_bits)) if n else links
 
 
 def simhash_components(docs: DataFrame, keep: list[Column | str], width: int = SHINGLE_WORDS,
