@@ -278,7 +278,10 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS, crowd: int =
         u, v = stars(anchor, fp, max_bits)
         return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
-    replicas = written(prints.select("fp").where("fp IS NOT NULL").distinct().mapInArrow(spread, "anchor long, fp long"), "replicas")
+    # A fingerprint becomes some 75 rows: few bytes are dealt to many tasks before they grow.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = prints.select("fp").where("fp IS NOT NULL").distinct().repartition(tasks)
+    replicas = written(distinct.mapInArrow(spread, "anchor long, fp long"), "replicas")
     crowded = written(replicas.groupBy("anchor").count().where(F.col("count") > crowd).select("anchor"), "crowds")
     n = crowded.count()
     some = replicas
