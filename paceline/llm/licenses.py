@@ -1,7 +1,8 @@
 """License scans: ordered signature rules gated by keywords.
 
 A text is reduced to lower-cased words joined by single spaces. Rules are regular expressions
-over that line, made from license families, their versions and the ways licenses are granted or
+over that line: signatures written by hand (``license_signatures``: notices, titles, addresses, names,
+body sentences) and phrases made from license families, their versions and the ways licenses are granted or
 named; each is tried only if the line holds one of its literals, of which every match has one (a
 family's rules: its name words), and lines without any literal have no match. Detections are
 taken in order of priority, then length; one that lies within an accepted detection is
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from paceline.llm import common
+from paceline.llm.license_signatures import GROUPS
 
 WORD_BYTES = [*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]
 _TABLE = common.byte_table(word=WORD_BYTES)
@@ -105,7 +107,9 @@ def _versioned(version: str) -> str:
 
 def signature_rules() -> tuple[Rule, ...]:
     """All rules in order. From specific to vague: identifiers, grants, names, and text parts."""
-    rules = []
+    # The words of a grant before a signature belong to it: "released under" the named license.
+    rules = [_rule(label, priority, gate, rf"(?:{_GRANT})?(?:{pattern})", sure)
+             for rows, priority, sure in GROUPS for label, gate, pattern in rows]
     for label, names, versions in FAMILIES:
         named = rf"(?:{names})"
         for version in versions:
@@ -161,6 +165,10 @@ LITERALS: dict[bytes, list[int]] = {}
 for _place, _of in enumerate(RULES):
     for _literal in _of.literals:
         LITERALS.setdefault(_literal, []).append(_place)
+#: The literals by their longest word: a line is searched for those whose word it has.
+LITERALS_OF_WORD: dict[bytes, list[bytes]] = {}
+for _literal in LITERALS:
+    LITERALS_OF_WORD.setdefault(max(_literal.split(), key=len), []).append(_literal)
 _BASE = [(f" {p} ".encode(), label) for p, label in BASE_PHRASES.items()]
 
 
@@ -175,7 +183,9 @@ def places(line: bytes, phrase: bytes) -> list[int]:
 
 def rules_for(line: bytes) -> list[Rule]:
     """The rules that may match the line, in order."""
-    return [RULES[k] for k in sorted({k for literal, at in LITERALS.items() if literal in line for k in at})]
+    words = LITERALS_OF_WORD.keys() & line.split()
+    found = [literal for word in words for literal in LITERALS_OF_WORD[word] if literal in line]
+    return [RULES[k] for k in sorted({k for literal in found for k in LITERALS[literal]})]
 
 
 @dataclass
