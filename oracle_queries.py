@@ -736,6 +736,7 @@ def oracle() -> dict[str, str]:
         "stg_events": staged,
         "dedup_landing": staged,
         "stream_ingest": staged,
+        "stream_notices": staged,
         "stream_ndjson": staged,
         "stream_dedup": staged,
         "stream_dedup_for_good": staged,

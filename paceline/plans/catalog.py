@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paceline.operators import experiment, marts, population, quality, segments, survival
 from paceline.operators import sessions as ses
@@ -19,7 +19,8 @@ from paceline.sources import landing as land
 from paceline.sources.adapter import GAP_HOURS, funnel_events
 from paceline.sources.scratch import new_dir, written
 from paceline.spec import DEFAULT_EXPERIMENT, DEFAULT_FUNNEL as SPEC, FunnelSpec
-from paceline.streaming import counts as scounts, dedup as sdedup, ingest, retention as sretention, sessions as ssessions
+from paceline.streaming import (counts as scounts, dedup as sdedup, ingest, notices, retention as sretention,
+                                sessions as ssessions)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -516,6 +517,29 @@ def stream_ingest(spark, sf_dir):
     return typed(stg_events(spark.read.parquet(out)))
 
 
+@query
+def stream_notices(spark, sf_dir):
+    """Landing by messages: every file is named twice, in different batches, beside messages of
+    deleted objects and of other keys."""
+    log, out, state = (new_dir(spark, n) for n in ("notices", "noticed", "stream-state"))
+    root = landed(spark, sf_dir)
+    files = land.list_files(spark, root).select(F.expr("substring_index(source_file, '/', -4)").alias("key"), "length")
+
+    def messages(event: str, key: Column) -> DataFrame:
+        thing = F.struct(F.struct(F.lit("clicks").alias("name")).alias("bucket"),
+                         F.struct(F.url_encode(key).alias("key"), F.col("length").alias("size")).alias("object"))
+        record = F.struct(F.lit(event).alias("eventName"), thing.alias("s3"))
+        return files.select(F.to_json(F.struct(F.array(record).alias("Records"))).alias("value"))
+
+    created = messages("ObjectCreated:Put", F.col("key"))
+    others = messages("ObjectRemoved:Delete", F.col("key")).unionAll(messages("ObjectCreated:Copy", F.concat("key", F.lit(".bak"))))
+    created.unionAll(others).repartition(4).write.text(log)
+    created.repartition(3).write.mode("append").text(log)
+    named = notices.named_files(notices.stream_notices(spark, log, max_files=2), {"clicks": root})
+    ingest.drain(notices.land_noticed(named, out, state, every=None, buckets=16, max_parts=3))
+    return typed(stg_events(notices.noticed_rows(spark, out)))
+
+
 @query
 def stream_flush_counts(spark, sf_dir):
     """Counts kept by a listener over two runs: one ends in a failing batch, the next lands it."""
