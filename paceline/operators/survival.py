@@ -1,8 +1,10 @@
 """Kaplan–Meier curves as aggregates and windows.
 
 Durations may be fractions of a second, so a curve can have as many points as there are
-sessions. Running sums are therefore taken in two levels: over time bins (few per group)
-and inside each bin, never over one group's points in a single task.
+sessions. Running sums are therefore taken in two levels: over bins (few per group) and inside
+each bin, never over one group's points in a single task. Bins are cut by the data: the points are
+range-partitioned by group and time and each partition is a bin, so that a million durations
+within one second fall into as many bins as a million over a year.
 """
 
 from __future__ import annotations
@@ -18,21 +20,24 @@ from paceline.spec import DEFAULT_FUNNEL, FunnelSpec
 
 
 def kaplan_meier(df: DataFrame, group_cols: Sequence[str], duration: str, event: str, *,
-                 bin_width: float = 64.0, z: float = Z_975) -> DataFrame:
+                 bins: int | None = None, z: float = Z_975) -> DataFrame:
     """``(groups, t, at_risk, events, censored, survival, ci_low, ci_high)``.
 
     One row per distinct duration. The interval is the log(-log) Greenwood band, NULL
     where it is undefined (survival 1 or 0). Rows with a NULL group or duration are left
     out. ``event`` is boolean. Points per duration are written once: three steps read them.
+    There are as many bins as shuffle partitions after adaptive merging, or ``bins``; any number
+    gives the same curve. The bin is written with its points, so no later step can cut anew.
     """
     groups = list(group_cols)
-    points = written(
+    counted = (
         df.dropna(subset=[*groups, duration])
         .groupBy(*groups, F.col(duration).cast("double").alias("t"))
         .agg(F.count_if(F.col(event)).alias("events"), F.count(F.lit(1)).alias("left"))
-        .withColumn("bin", F.floor(F.col("t") / bin_width)),
-        "km_points",
     )
+    by = [*groups, "t"]
+    ranged = counted.repartitionByRange(bins, *by) if bins else counted.repartitionByRange(*by)
+    points = written(ranged.withColumn("bin", F.spark_partition_id()), "km_points")
     in_bin = Window.partitionBy(*groups, "bin")
 
     # Still at risk: everyone leaving at t or later = later bins + later in this bin.
@@ -110,4 +115,4 @@ def step_curves(transitions: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL, *,
     """Time to advance per step; both arms pooled unless ``by_variant``."""
     extra = [spec.variant] if by_variant else []
     long = step_durations(transitions, spec, keep=extra)
-    return kaplan_meier(long, ["transition", *extra], "duration", "advanced", bin_width=1.0)
+    return kaplan_meier(long, ["transition", *extra], "duration", "advanced")

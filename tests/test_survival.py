@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from paceline.functions.stats import Z_975
 from paceline.operators import sessions as ses, survival
+from paceline.sources import scratch
 
 
 def brute(durations, events):
@@ -25,8 +26,8 @@ def brute(durations, events):
     return out
 
 
-@pytest.mark.parametrize("bin_width", [0.5, 7.0, 1e9])
-def test_curve_equals_a_point_by_point_product(spark, bin_width):
+@pytest.mark.parametrize("bins", [None, 1, 7, 64])
+def test_curve_equals_a_point_by_point_product(spark, bins):
     rng = random.Random(11)
     # Ties, fractions, negatives, and a value that holds a third of the rows.
     durations = [rng.choice([rng.randrange(40), round(rng.uniform(-3, 40), 6), 5]) for _ in range(400)]
@@ -35,7 +36,7 @@ def test_curve_equals_a_point_by_point_product(spark, bin_width):
     df = spark.createDataFrame([("g", t, e) for t, e in zip(durations, events)]
                                + [("other", 3.0, True), (None, 1.0, True), ("g", None, True)],
                                "arm string, t double, e boolean")
-    got = rows(survival.kaplan_meier(df, ["arm"], "t", "e", bin_width=bin_width))
+    got = rows(survival.kaplan_meier(df, ["arm"], "t", "e", bins=bins))
     mine = sorted((r for r in got if r["arm"] == "g"), key=lambda r: r["t"])
     expected = brute(durations, events)
     assert len(mine) == len(expected)
@@ -45,6 +46,19 @@ def test_curve_equals_a_point_by_point_product(spark, bin_width):
             assert r[name] == (None if v is None else pytest.approx(v, abs=1e-6)), (t, name)
 
 
+def test_bins_follow_the_data(spark, monkeypatch):
+    """Durations that differ by microseconds within a second, and a few far away: no bin is crowded."""
+    kept = []
+    monkeypatch.setattr(survival, "written", lambda df, label: kept.append(scratch.written(df, label)) or kept[-1])
+    near = spark.range(20_000).selectExpr("'g' AS arm", "100 + id / 1e6 AS t", "id % 3 = 0 AS e")
+    far = spark.range(50).selectExpr("'g' AS arm", "id * 1e6 AS t", "true AS e")
+    curve = survival.kaplan_meier(near.unionAll(far), ["arm"], "t", "e", bins=20)
+    sizes = [r["count"] for r in kept[0].groupBy("bin").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 3 * 20_050 / 20
+    got = rows(curve, "t")
+    assert len(got) == 20_050 and min(r["at_risk"] for r in got) == 1 and max(r["at_risk"] for r in got) == 20_050
+
+
 def test_everyone_has_the_event(spark):
     df = spark.createDataFrame([("g", 1.0, True), ("g", 2.0, True)], "arm string, t double, e boolean")
     got = rows(survival.kaplan_meier(df, ["arm"], "t", "e"), "t")
