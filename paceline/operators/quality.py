@@ -2,7 +2,8 @@
 
 A test counts violating rows; it passes at zero. All null and domain rules of one table
 are conditional counts in a single aggregate, so a table is read once for them however
-many rules it has. Key rules need their own grouping.
+many rules it has, or not at all where :class:`Watched` counts them while the table is written. Key
+rules need their own grouping; they read only their key columns.
 """
 
 from __future__ import annotations
@@ -11,8 +12,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
+from paceline.functions.time import boundary_seconds
 from paceline.spec import DEFAULT_DOMAINS, DEFAULT_FUNNEL, Domains, FunnelSpec
 
 
@@ -143,6 +145,10 @@ def funnel_monotonicity(sessions: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL,
     first nor the second step"; ``strict`` flags any step reached without its
     predecessor, however often it was seen.
     """
+    return sessions.where(_not_monotone(spec, strict))
+
+
+def _not_monotone(spec: FunnelSpec, strict: bool = False) -> Column:
     def seen(i: int) -> Column:
         s = spec.steps[i]
         c = F.col(s.reached_col)
@@ -155,9 +161,9 @@ def funnel_monotonicity(sessions: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL,
 
     last = len(spec.steps) - 1
     if strict:
-        return sessions.where(_any([seen(i) & missing(i - 1) for i in range(1, last + 1)]))
+        return _any([seen(i) & missing(i - 1) for i in range(1, last + 1)])
     clauses = [seen(i) & missing(i - 1) for i in range(2, last + 1)]
-    return sessions.where(_any([*clauses, missing(1) & missing(0)]))
+    return _any([*clauses, missing(1) & missing(0)])
 
 
 def no_negative_transitions(transitions: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
@@ -185,10 +191,14 @@ def no_full_exit_segment(dropoff: DataFrame, segment: Sequence[str] = ("device",
 
 def retention_bounds(retention: DataFrame) -> DataFrame:
     """Cohorts with more active users than members, or a rate outside 0..100."""
+    return retention.where(_out_of_bounds())
+
+
+def _out_of_bounds() -> Column:
     too_many = [F.col(c) > F.col("cohort_size") for c in
                 ("newest_users", "first_week_users", "second_week_users", "month_users")]
     too_high = [F.col(c) > 100.0 for c in ("d1_retention_rate", "d7_retention_rate", "d14_retention_rate")]
-    return retention.where(_any([*too_many, *too_high, F.col("d1_retention_rate") < 0.0]))
+    return _any([*too_many, *too_high, F.col("d1_retention_rate") < 0.0])
 
 
 def event_order_flags(stg: DataFrame, spec: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
@@ -228,14 +238,30 @@ def changing_attributes(stg: DataFrame, attributes: Sequence[str],
 # -- suite -----------------------------------------------------------------------------
 
 
-def _fold(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """All null and domain rules of one table as one aggregate, a row per rule."""
-    aggs, rows = [], []
-    for i, r in enumerate(rules):
+REPORT = "test string, model string, column string, failures long, rows_checked long"
+
+
+def _row_rules(rules: Sequence[Rule], model: str) -> list[Rule]:
+    return [r for r in rules if r.model == model and r.kind in ("not_null", "accepted_values")]
+
+
+def _row_counts(df: DataFrame, rules: Sequence[Rule], among: Column | None = None) -> list[tuple[Column, Column]]:
+    """For each null or domain rule the violating rows and the rows it is about, as aggregates."""
+    counts = []
+    for r in rules:
         scope = F.expr(r.where) if r.where else F.lit(True)
+        scope = scope if among is None else scope & among
         column = r.columns[0]
         bad = F.col(column).isNull() if r.kind == "not_null" else _not_accepted(df, column, r.values)
-        aggs += [F.count_if(scope & bad).alias(f"bad_{i}"), F.count_if(scope).alias(f"seen_{i}")]
+        counts.append((F.count_if(scope & bad), F.count_if(scope)))
+    return counts
+
+
+def _fold(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """All null and domain rules of one table as one aggregate, a row per rule."""
+    aggs, rows = [], []
+    for i, (r, (bad, seen)) in enumerate(zip(rules, _row_counts(df, rules))):
+        aggs += [bad.alias(f"bad_{i}"), seen.alias(f"seen_{i}")]
         rows.append(F.struct(
             F.lit(r.kind).alias("test"), F.lit(r.model).alias("model"), F.lit(r.column).alias("column"),
             F.col(f"bad_{i}").alias("failures"), F.col(f"seen_{i}").alias("rows_checked"),
@@ -243,6 +269,57 @@ def _fold(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
+class Watched:
+    """Tests that look at one row at a time, counted by the job that writes a table.
+
+    ``watch`` hangs the counts on a table before it is written; they are metrics of that write,
+    summed over its tasks, and ``report`` waits for it. A table that is watched again, or under the name of
+    a model watched before, replaces what was counted.
+    """
+
+    def __init__(self, spec: FunnelSpec = DEFAULT_FUNNEL, rules: Sequence[Rule] | None = None):
+        self.spec = spec
+        self.rules = declared_rules() if rules is None else list(rules)
+        self.found: dict[str, tuple[Observation, list[tuple[str, str]]]] = {}
+
+    def _assertions(self, model: str) -> list[tuple[str, Column]]:
+        """Assertions that look at one row; step gaps are taken from the step times."""
+        hops = [(F.col(a.first_ts_col), F.col(b.first_ts_col)) for a, b, _ in self.spec.hops]
+        return {
+            "int_sessions": [("funnel_monotonicity", _not_monotone(self.spec))],
+            "int_step_transition": [("no_negative_transitions", _any([boundary_seconds(a, b) < 0 for a, b in hops]))],
+            "fct_user_retention": [("retention_bounds", _out_of_bounds())],
+        }.get(model, [])
+
+    def watch(self, df: DataFrame, model: str, among: Column | None = None) -> DataFrame:
+        """``df`` with the counts of ``model``; the model is the rows ``among`` if given."""
+        rules = _row_rules(self.rules, model)
+        scope = F.lit(True) if among is None else among
+        counts = _row_counts(df, rules, among)
+        counts += [(F.count_if(scope & bad), F.count_if(scope)) for _, bad in self._assertions(model)]
+        names = [(r.kind, r.column) for r in rules] + [(name, "*") for name, _ in self._assertions(model)]
+        if not names:
+            return df
+        seen = Observation()
+        self.found[model] = (seen, names)
+        return df.observe(seen, *[c.alias(f"{kind}_{i}") for i, pair in enumerate(counts) for kind, c in zip(("bad", "seen"), pair)])
+
+    def tests(self, model: str) -> set[str]:
+        """The assertions counted for a model."""
+        return {name for name, column in self.found[model][1] if column == "*"} if model in self.found else set()
+
+    def report(self, spark: SparkSession, models: Sequence[str]) -> DataFrame:
+        """``(test, model, column, failures, rows_checked)`` of the watched ones of ``models``."""
+        rows = []
+        for model in models:
+            if model in self.found:
+                seen, names = self.found[model]
+                counted = seen.get
+                rows += [(test, model, column, counted.get(f"bad_{i}", 0), counted.get(f"seen_{i}", 0))
+                         for i, (test, column) in enumerate(names)]
+        return spark.createDataFrame(rows, REPORT)
+
+
 def _keys(df: DataFrame, r: Rule) -> DataFrame:
     scoped = df.where(F.col(r.columns[0]).isNotNull()) if r.kind == "unique" else df
     copies = scoped.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("copies"))
@@ -261,14 +338,16 @@ def _assertion(name: str, model: str, violations: DataFrame, checked: DataFrame)
 
 
 def run_suite(tables: Mapping[str, DataFrame], spec: FunnelSpec = DEFAULT_FUNNEL,
-              rules: Sequence[Rule] | None = None) -> DataFrame:
+              rules: Sequence[Rule] | None = None, watched: Watched | None = None) -> DataFrame:
     """``(test, model, column, failures, rows_checked)`` for every rule and assertion
-    whose table is given. Pass written tables: each is read several times."""
+    whose table is given. Pass written tables: each is read several times. What ``watched`` has
+    counted while they were written is not counted again."""
     rules = declared_rules() if rules is None else rules
+    counted = watched.found if watched else {}
     parts = []
     for model, df in tables.items():
-        simple = [r for r in rules if r.model == model and r.kind in ("not_null", "accepted_values")]
-        if simple:
+        simple = _row_rules(rules, model)
+        if simple and model not in counted:
             parts.append(_fold(df, simple))
         parts += [_keys(df, r) for r in rules if r.model == model and r.kind.startswith("unique")]
     asserted = [
@@ -280,6 +359,8 @@ def run_suite(tables: Mapping[str, DataFrame], spec: FunnelSpec = DEFAULT_FUNNEL
     ]
     parts += [
         _assertion(name, model, check(tables[model]), tables[model])
-        for name, model, check in asserted if model in tables
+        for name, model, check in asserted if model in tables and not (watched and name in watched.tests(model))
     ]
+    if counted:
+        parts.append(watched.report(next(iter(tables.values())).sparkSession, list(tables)))
     return reduce(DataFrame.unionByName, parts)

@@ -261,7 +261,10 @@ def published_tables(spark, sf_dir):
 
 @query
 def dq_suite(spark, sf_dir):
-    return quality.run_suite(build_tables(events(spark, sf_dir), new_dir(spark, "tables")))
+    """The tests of single rows are counted while the tables are written."""
+    watched = quality.Watched()
+    tables = build_tables(events(spark, sf_dir), new_dir(spark, "tables"), watched=watched)
+    return quality.run_suite(tables, watched=watched)
 
 
 @query

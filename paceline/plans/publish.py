@@ -59,14 +59,15 @@ def publish_tables(spark: SparkSession, stg: DataFrame, path: str, *, fail_on_vi
     """
     publication = Publication(spark, path)
     folder = publication.new_version()
-    tables = build_tables(stg, folder, spec)
+    watched = quality.Watched(spec)
+    tables = build_tables(stg, folder, spec, watched)
     for name in ("int_sessions", "int_step_transition"):  # views so far, unless the general join was needed
         if name not in subfolders(spark, folder):
             tables[name].write.parquet(f"{folder}/{name}")
     if fail_on_violation:
-        check_tables(tables, folder, spec)
+        check_tables(tables, folder, spec, watched)
     else:
-        quality.run_suite(tables, spec).write.mode("overwrite").parquet(f"{folder}/data_tests")
+        quality.run_suite(tables, spec, watched=watched).write.mode("overwrite").parquet(f"{folder}/data_tests")
     made = evaluate(tables, folder, exp, spec)
     publication.publish(folder, [*tables, "data_tests", *made])
     return publication.tables()

@@ -36,6 +36,21 @@ def test_whole_job_from_files_to_readout(spark, staged, tmp_path):
     assert again["stg_events"].count() == staged.count()
 
 
+def test_exploration_reads_the_tables_of_the_job(spark, staged, tmp_path):
+    out = str(tmp_path / "out")
+    tables = build.build_tables(staged, out)
+    done = build.explore(tables, out)
+    arms = tables["int_sessions"].select("variant").distinct().count()
+    first = done["km_conversion"].groupBy("variant").agg(F.max("at_risk").alias("sessions"))
+    assert first.count() == arms and sum(r["sessions"] for r in first.collect()) == tables["int_sessions"].count()
+    users = staged.select("user_id").distinct().count()
+    assert done["user_features"].count() == users
+    assert sum(r["users"] for r in done["user_segments"].collect()) == users
+    assert done["kmeans_sweep"].count() > 1 and done["population_verdict"].count() == 1
+    assert {r["transition"] for r in done["km_step_transitions"].collect()} == {g.removesuffix("_seconds") for _, _, g in catalog.SPEC.hops}
+    assert spark.read.parquet(f"{out}/power_plan").count() == done["power_plan"].count() > 0
+
+
 def test_double_load_fails_the_data_tests_unless_deduplicated(spark, staged, tmp_path):
     src = str(tmp_path / "src")
     land.write_ndjson(land.payload(staged), src)

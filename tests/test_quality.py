@@ -2,7 +2,7 @@ from collections import Counter
 
 import pytest
 
-from conftest import rows
+from conftest import Events, rows
 from paceline.operators import marts, quality, sessions as ses
 
 SESSION = ("session_id string, homepage_views long, has_searched_product long, has_viewed_product long, "
@@ -101,3 +101,23 @@ def test_suite_counts_every_violation_with_one_scan_per_table(spark, made):
     assert got["int_sessions", "unique", "session_id"] == 1  # s1 has two devices
     assert got["fct_session_dropoff", "accepted_values", "exit_event"] == 1
     assert got["fct_session_dropoff", "dropoff_percentage_sum", "*"] == 0
+
+
+def test_counts_of_the_write_equal_those_of_a_scan(spark, made, tmp_path):
+    """Over good, odd, empty and nameless events, with session ids of one user and of several."""
+    from paceline.plans.build import build_tables
+
+    for n, shared in enumerate((False, True, None)):
+        events = Events()
+        if shared is not None:
+            for i in range(30):
+                step = ["view_homepage", "search_product", "odd", "purchase_completed", None][i % 5]
+                events.add(None if i % 11 == 0 else f"s{i % 7}", step, (i * 37) % 100, user_id=f"u{i % 3 if shared else 0}",
+                           device=None if i % 6 == 0 else "watch" if shared else "mobile", event_id=f"e{i // 2}")
+        watched = quality.Watched()
+        tables = build_tables(events.df(spark), str(tmp_path / str(n)), watched=watched)
+        assert set(watched.found) == set(tables)
+        key = ("model", "test", "column")
+        seen, scanned = rows(quality.run_suite(tables, watched=watched), *key), rows(quality.run_suite(tables), *key)
+        assert len(seen) == 93 and seen == scanned
+        assert sum(r["failures"] > 0 for r in seen) >= (0 if shared is None else 5)
