@@ -17,6 +17,10 @@ Only windows that may match leave the document scan: a bitmap of the benchmark's
 of fixed size whatever the benchmark, is tested in the tasks; it can only let too many through,
 and the join decides.
 
+A window that many items share ("answer the following question about the") is not joined with all of
+them: an item that its common windows alone cannot cover far enough is looked at in a document only
+if the document has one of its rarer windows, and then with all its windows. The result is the same.
+
 Defined results: null and empty texts hold nothing; items of fewer than ``WINDOW`` words are held
 by documents with all their words in a row, in any case; template windows with fewer than
 ``WINDOW / 2`` literal words are not used; a group covers ``WINDOW`` words at least, and coverage
@@ -36,6 +40,7 @@ from paceline.llm import common
 from paceline.sources.scratch import written
 
 WINDOW, COVERAGE = 8, 0.5
+COMMON = 16  # a window of more items than this is a common one
 BITMAP_BITS = 22
 #: Unit words that follow a number.
 UNITS = ("mm", "cm", "m", "km", "mi", "ft", "in", "inch", "inches", "miles", "meters", "metres", "mg", "g", "kg", "lb",
@@ -203,14 +208,41 @@ def _covered(spans):
     return F.aggregate(F.array_sort(spans), start, add, lambda done: done["n"])
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, key: str, width: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
+def waiting_windows(items: DataFrame, coverage: float, common: int) -> DataFrame:
+    """``items`` with ``waits``: whether a window is one of more than ``common`` items, and of an item
+    that its windows of this kind cover less than ``coverage`` of, in words and in typed words."""
+    shared = (items.select("window", "item_id").distinct().groupBy("window").count()
+              .where(F.col("count") > common).select("window", F.lit(True).alias("common")))
+    items = written(items.join(shared, "window", "left").withColumn("common", F.coalesce("common", F.lit(False))), "marked")
+    span = F.struct(F.col("place").alias("at"), "width")
+    covered = (items.where("common").groupBy("item_id")
+               .agg(F.max("n_words").alias("of"), F.max("n_typed").alias("of_typed"), F.collect_set(span).alias("spans"),
+                    F.collect_set(F.when(~F.col("literal"), span)).alias("typed"))
+               .select("item_id", ((_covered("spans") < coverage * F.col("of"))
+                                   & ((F.col("of_typed") == 0) | (_covered("typed") < coverage * F.col("of_typed")))).alias("short")))
+    return items.join(covered, "item_id", "left").withColumn("waits", F.col("common") & F.col("short")).drop("common", "short")
+
+
+def matches(found: DataFrame, items: DataFrame, key: str) -> DataFrame:
+    """Rows of ``found`` with the rows of ``items`` of their window; those that wait only where the
+    document has another window of the item."""
+    direct = written(found.join(items.where("NOT waits"), "window").drop("waits"), "matches")
+    waiting = items.where("waits").drop("waits")
+    near = direct.join(waiting.select("item_id").distinct(), "item_id", "left_semi").select(key, "item_id").distinct()
+    late = near.join(waiting, "item_id").join(found, [key, "window"])
+    return direct.unionByName(late)
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, key: str, width: int = WINDOW, coverage: float = COVERAGE,
+          common: int = COMMON) -> DataFrame:
     """``key, item_id, coverage``: the items each document holds. ``key`` names a document."""
     items = written(template_windows(benchmark.where("item_id IS NOT NULL"), "item_id", width), "items")
     kinds = sorted((r["width"], r["literal"]) for r in items.select("width", "literal").distinct().collect())
     found = template_windows(docs, key, width, kinds, _bitmap(items)).select(key, "place", "window", "slots")
-    item = items.select("item_id", "n_words", "n_typed", F.col("place").alias("at"), "width", "literal", "window",
-                        F.col("slots").alias("asked"))
-    pairs = found.join(item, "window").withColumn("given", F.when(F.col("literal"), F.col("asked")).otherwise(F.col("slots")))
+    found = written(found, "document-windows")
+    item = written(waiting_windows(items, coverage, common), "items").select(
+        "item_id", "n_words", "n_typed", F.col("place").alias("at"), "width", "literal", "window", F.col("slots").alias("asked"), "waits")
+    pairs = matches(found, item, key).withColumn("given", F.when(F.col("literal"), F.col("asked")).otherwise(F.col("slots")))
     pairs = pairs.where(F.size("given") == F.size("asked")).withColumn("shift", F.col("place") - F.col("at"))
     # The windows of one shift, and of ranges of shifts that overlap by half.
     reach = F.greatest(F.col("n_words"), F.lit(width))
