@@ -3,18 +3,32 @@
 A word is the sum of hashed embeddings of the word and of its first 3 to 6 bytes, so that
 unseen inflections of a known stem still carry its meaning. Filters of several widths slide
 over the words, each keeps its maximum over the whole text, and a linear layer scores the
-maxima. Embeddings start from the log odds of their features in the training sample and are
-then trained with the filters by gradient descent (numpy, on the driver, on a bounded sample).
-The threshold is calibrated for each language; the language is read from function words of
-the text, never from a column.
+maxima. Embeddings start from the log odds of their features and are then trained with the
+filters by gradient descent. The threshold is calibrated for each language; the language is
+read from function words of the text, never from a column.
+
+Every labelled document that learning may see takes part, in tasks; the driver holds the model
+and sums of its size. A fifth, chosen by hash, only calibrates the thresholds.
+
+1. The texts with their labels are written in shards, by hash of the id.
+2. Documents with each feature are counted by class: the log odds.
+3. In each epoch every shard goes on from the same model by gradient steps; a feature moves by
+   the mean of the changes in the shards that changed it, weighed by their texts.
+4. The margins of all labelled documents are counted in cells of 1/256 by language and class,
+   from which the thresholds are read.
+
+Sums are of integers, so reruns agree. A shard of very many bytes that Spark reads in parts
+counts as several.
 
 Defined results: null and empty texts have no words and get the score of an empty text;
-repeated rows are scored alike; an empty table gives an empty result; without any usable label
-every score is 0. Other columns are neither read nor returned by :func:`score_documents`.
+repeated rows are scored alike; a repeated labelled id counts once, with the highest of its
+labels and the least of its texts; an empty table gives an empty result; without any usable
+label every score is 0. Other columns are neither read nor returned by :func:`score_documents`.
 """
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paceline.llm import common
+from paceline.sources.scratch import written
 
 #: Words that mark a language.
 FUNCTION_WORDS = {
@@ -36,16 +51,24 @@ LANGUAGES = (*FUNCTION_WORDS, "other")
 PREFIXES = (3, 4, 5, 6)
 WORD_BYTES = common.byte_table(word=[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)])
 
+STEP_TEXTS = 32  # texts of one gradient step
+_CELLS, _CELL = 1 << 14, 1 / 256  # margins from -32 to 32 as they are counted
+_UNIT = 1 << 20  # changes are summed as integers of this part
+
 
 @dataclass(frozen=True)
 class ToxicityParams:
-    """``sample_per_class`` bounds the labelled documents of each class used for training."""
+    """``shard_rows`` labelled documents, more or less, make the steps between two means.
+
+    All labelled documents are learned from, unless ``sample_per_class`` bounds those of each class.
+    """
 
     buckets: int = 1 << 18
     dim: int = 8
     filters: int = 8
     widths: tuple[int, ...] = (1, 2, 3)
-    sample_per_class: int = 2500
+    sample_per_class: int | None = None
+    shard_rows: int = 4096
     epochs: int = 4
     rate: float = 0.02
     seed: int = 7
@@ -134,27 +157,51 @@ def logits(model: ToxicityModel, ids: np.ndarray, first: np.ndarray) -> np.ndarr
     return np.maximum(pooled + model.bias, 0) @ model.weights + model.intercept
 
 
+def _batches(texts: list[bytes], toxic: np.ndarray, buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(feature ids, each text's first word, labels) of a few texts at a time."""
+    for k in range(0, len(texts), STEP_TEXTS):
+        ids, first = [], [np.zeros(1, dtype=np.int64)]
+        for _, _, data, starts in common.chunks(texts[k:k + STEP_TEXTS]):
+            got, at = features(data, starts, buckets)
+            ids.append(got)
+            first.append(at[1:] + first[-1][-1])
+        yield np.concatenate(ids), np.concatenate(first), toxic[k:k + STEP_TEXTS]
+
+
 def train(texts: list[bytes], toxic: np.ndarray, params: ToxicityParams = ToxicityParams()) -> ToxicityModel:
-    """Fits on the given texts; a fifth of them only calibrates the thresholds."""
-    rng = np.random.default_rng(params.seed)
-    ids, first, langs, table = [], [0], [], _language_table(params.buckets)
-    for _, _, data, starts in common.chunks(texts):
-        got, at = features(data, starts, params.buckets)
-        ids.append(got)
-        langs.append(languages(got, at, table))
-        first.extend((at[1:] + first[-1]).tolist())
-    words = np.concatenate(ids) if ids else np.zeros((0, 1 + len(PREFIXES)), dtype=np.int32)
-    first, langs = np.array(first), np.concatenate(langs) if langs else np.zeros(0, dtype=int)
-    calibrating = rng.random(len(texts)) < 0.2
-    fit = np.flatnonzero(~calibrating)
-
-    def texts_at(rows):
-        part = [words[first[r]:first[r + 1]] for r in rows]
-        return np.concatenate(part), np.concatenate([[0], np.cumsum([len(p) for p in part])])
+    """Fits on texts at hand as :func:`fit` does on tables, all of them one shard."""
+    calibrating = np.random.default_rng(params.seed).random(len(texts)) < 0.2
+    fitting = [t for t, c in zip(texts, calibrating) if not c]
+    seen = np.zeros((2, params.buckets), dtype=np.int64)
+    _count(seen, fitting, toxic[~calibrating])
+    model = _started(seen, params)
+    if not seen[:, 0].all():
+        return model
+    for epoch in range(params.epochs):
+        _descend(model, fitting, toxic[~calibrating], epoch)
+    cells = _no_cells()
+    _count_margins(cells, model, texts, toxic, calibrating, _language_table(params.buckets))
+    _calibrate(model, cells)
+    return model
+
+
+def _count(seen: np.ndarray, texts: list[bytes], toxic: np.ndarray) -> None:
+    """Adds, by class and feature, the texts that hold it; feature 0 counts the texts."""
+    for ids, first, label in _batches(texts, toxic, seen.shape[1]):
+        owner = np.repeat(np.arange(len(label)), np.diff(first))
+        held = np.unique((owner[:, None] << 32) | ids)
+        feature = held & 0xFFFFFFFF
+        some = feature > 0
+        np.add.at(seen, (label[held[some] >> 32], feature[some]), 1)
+        np.add.at(seen[:, 0], label, 1)
 
+
+def _started(seen: np.ndarray, params: ToxicityParams) -> ToxicityModel:
+    """The model before its first step; without texts of both classes it takes nothing for toxic."""
+    rng = np.random.default_rng(params.seed)
     dim, count = params.dim, params.filters
     embedding = rng.normal(0, 0.05, (params.buckets, dim)).astype(np.float32)
-    embedding[:, 0] = _log_odds(words, first, toxic, fit, params.buckets)
+    embedding[:, 0] = _log_odds(seen)
     embedding[0] = 0
     kernels = [rng.normal(0, 0.1, (w, dim, count)).astype(np.float32) for w in params.widths]
     for kernel in kernels:
@@ -162,30 +209,21 @@ def train(texts: list[bytes], toxic: np.ndarray, params: ToxicityParams = Toxici
     total = count * len(kernels)
     model = ToxicityModel(params, embedding, kernels, np.full(total, -0.5, dtype=np.float32),
                           np.full(total, 1.0 / total, dtype=np.float32), -1.0)
-    if not len(fit) or len(set(toxic[fit].tolist())) < 2:
+    if not seen[:, 0].all():
         model.thresholds[:] = np.inf
-        return model
-    for epoch in range(params.epochs):
-        rate = params.rate / (1 + epoch)
-        order = rng.permutation(fit)
-        for k in range(0, len(order), 32):
-            rows = order[k:k + 32]
-            _step(model, *texts_at(rows), toxic[rows], rate)
-    every = np.concatenate([logits(model, *texts_at(range(k, min(k + 64, len(texts)))))
-                            for k in range(0, len(texts), 64)])
-    _calibrate(model, every, toxic, langs, calibrating)
     return model
 
 
-def _log_odds(words, first, toxic, fit, buckets) -> np.ndarray:
+def _log_odds(seen: np.ndarray) -> np.ndarray:
     """Shrunk log odds of each feature's presence in toxic against clean texts."""
-    seen = np.zeros((2, buckets), dtype=np.float64)
-    size = np.zeros(2)
-    for r in fit:
-        seen[toxic[r], np.unique(words[first[r]:first[r + 1]])] += 1
-        size[toxic[r]] += 1
+    size, both = seen[:, 0], seen.sum(axis=0)
     odds = np.log((seen[1] + 0.5) / (size[1] + 1)) - np.log((seen[0] + 0.5) / (size[0] + 1))
-    return (odds * seen.sum(axis=0) / (seen.sum(axis=0) + 4)).clip(-3, 6).astype(np.float32)
+    return (odds * both / (both + 4)).clip(-3, 6).astype(np.float32)
+
+
+def _descend(model: ToxicityModel, texts: list[bytes], toxic: np.ndarray, epoch: int) -> None:
+    for ids, first, label in _batches(texts, toxic, model.params.buckets):
+        _step(model, ids, first, label, model.params.rate / (1 + epoch))
 
 
 def _step(model: ToxicityModel, ids: np.ndarray, first: np.ndarray, toxic: np.ndarray, rate: float) -> None:
@@ -216,28 +254,56 @@ def _step(model: ToxicityModel, ids: np.ndarray, first: np.ndarray, toxic: np.nd
     model.embedding[0] = 0
 
 
-def _calibrate(model, scores, toxic, langs, calibrating) -> None:
+def _packed(model: ToxicityModel) -> np.ndarray:
+    """All that steps change, ``dim`` numbers a row: the embeddings first."""
+    rest = np.concatenate([*[k.ravel() for k in model.kernels], model.bias, model.weights, [model.intercept]])
+    rows = np.zeros((-(-len(rest) // model.params.dim), model.params.dim))
+    rows.ravel()[:len(rest)] = rest
+    return np.concatenate([model.embedding, rows])
+
+
+def _unpack(model: ToxicityModel, rows: np.ndarray) -> None:
+    model.embedding = rows[:model.params.buckets].astype(np.float32)
+    rest = rows[model.params.buckets:].ravel()
+    parts = [*model.kernels, model.bias, model.weights]
+    ends = np.cumsum([p.size for p in parts])
+    for part, end in zip(parts, ends):
+        part[:] = rest[end - part.size:end].reshape(part.shape)
+    model.intercept = float(rest[ends[-1]])
+
+
+def _no_cells() -> np.ndarray:
+    return np.zeros((len(LANGUAGES), 2, 2, _CELLS), dtype=np.int64)
+
+
+def _count_margins(cells, model, texts, toxic, calibrating, table) -> None:
+    """Counts texts by language, whether they calibrate, class and cell of their margin."""
+    for k, (ids, first, label) in enumerate(_batches(texts, toxic, model.params.buckets)):
+        at = np.rint(logits(model, ids, first) / _CELL).astype(np.int64) + _CELLS // 2
+        held = calibrating[k * STEP_TEXTS:(k + 1) * STEP_TEXTS].astype(np.int64)
+        np.add.at(cells, (languages(ids, first, table), held, label, at.clip(0, _CELLS - 1)), 1)
+
+
+def _calibrate(model: ToxicityModel, cells: np.ndarray) -> None:
     """The threshold of best balanced accuracy of each language, the middle of a tie.
 
     A language with fewer than 10 calibrating texts of either class falls back to all its
-    sampled texts, and to all languages together if it has fewer than 5 of a class.
+    labelled texts, and to all languages together if it has fewer than 5 of a class.
     """
-    def best(rows):
-        s, y = scores[rows], toxic[rows]
-        order = np.argsort(s)
-        s, y = s[order], y[order]
+    def best(counts):
+        used = np.flatnonzero(counts.any(axis=0))
+        s, y = (used - _CELLS // 2) * _CELL, counts[:, used]
         cuts = np.concatenate([[s[0] - 1], (s[1:] + s[:-1]) / 2, [s[-1] + 1]])
-        clean = np.concatenate([[0], np.cumsum(1 - y)]) / max(1, (1 - y).sum())
-        caught = 1 - np.concatenate([[0], np.cumsum(y)]) / max(1, y.sum())
+        clean = np.concatenate([[0], np.cumsum(y[0])]) / max(1, y[0].sum())
+        caught = 1 - np.concatenate([[0], np.cumsum(y[1])]) / max(1, y[1].sum())
         value = 3 * clean + caught  # a clean document lost weighs more: most documents are clean
         top = np.flatnonzero(value >= value.max() - 1e-9)
         return float((cuts[top[0]] + cuts[top[-1]]) / 2)
 
-    everything = best(np.arange(len(scores)))
+    everything = best(cells.sum(axis=(0, 1)))
     for code in range(len(LANGUAGES)):
-        own = np.flatnonzero(langs == code)
-        held = own[calibrating[own]]
-        enough = lambda rows, n: min(toxic[rows].sum(), (1 - toxic[rows]).sum()) >= n
+        own, held = cells[code].sum(axis=0), cells[code, 1]
+        enough = lambda counts, n: counts.sum(axis=1).min() >= n
         model.thresholds[code] = best(held) if enough(held, 10) else best(own) if enough(own, 5) else everything
 
 
@@ -251,21 +317,121 @@ def score_texts(model: ToxicityModel, texts: list[bytes], table: np.ndarray) ->
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, params: ToxicityParams) -> DataFrame:
-    """At most ``sample_per_class`` texts of each class that learning may see, by hash order."""
-    rows = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~common.held_out())
+    """``shard, place, doc_id, label_toxic, calibrating, text``: all documents that learning may see.
+
+    Of each class at most ``sample_per_class`` by hash order, where that is given.
+    """
+    seen = F.col("doc_id").isNotNull() & ~common.held_out()
+    place = F.xxhash64(F.lit(params.seed), "doc_id")
+    rows = (labels.where(seen & F.col("toxic").isin(0, 1))
             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label_toxic")))
-    order = F.xxhash64(F.lit(params.seed), "doc_id")
-    picked = [rows.where(F.col("label_toxic") == y).orderBy(order).limit(params.sample_per_class) for y in (0, 1)]
-    chosen = F.broadcast(picked[0].union(picked[1]))  # at most 2 x sample_per_class rows of 12 bytes
-    return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id")
-            .dropDuplicates(["doc_id"]).select("doc_id", "text", "label_toxic"))
+    if params.sample_per_class is not None:
+        picked = [rows.where(F.col("label_toxic") == y).orderBy(place).limit(params.sample_per_class) for y in (0, 1)]
+        rows = picked[0].union(picked[1])
+    rows = written(rows, "toxicity-labels")
+    shards = max(1, -(-rows.count() // params.shard_rows))
+    # Texts and labels meet in one shuffle by shard: a join by id would move the texts twice.
+    texts = docs.where(seen).select("doc_id", F.lit(None).cast("int").alias("label_toxic"),
+                                    F.coalesce("text", F.lit("")).alias("text"))
+    both = texts.union(rows.select("doc_id", "label_toxic", F.lit(None).cast("string").alias("text")))
+    return (both.withColumn("place", place).withColumn("shard", F.pmod("place", F.lit(shards)).cast("int"))
+            .repartition(shards, "shard").groupBy("shard", "place", "doc_id")
+            .agg(F.max("label_toxic").alias("label_toxic"), F.min("text").alias("text"))
+            .where(F.col("label_toxic").isNotNull() & F.col("text").isNotNull())
+            .withColumn("calibrating", F.pmod(F.xxhash64(F.lit(params.seed + 1), "doc_id"), F.lit(5)) == 0)
+            .select("shard", "place", "doc_id", "label_toxic", "calibrating", "text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> ToxicityModel:
-    """Trains on the driver; the sample's bound is :attr:`ToxicityParams.sample_per_class`."""
-    rows = sorted(training_sample(docs, labels, params).collect())
-    toxic = np.array([r["label_toxic"] for r in rows], dtype=np.int64)
-    return train([r["text"].encode() for r in rows], toxic, params)
+    """Trains in tasks on all texts; the driver gets sums by feature, as many as the model has rows."""
+    sample = training_sample(docs, labels, params).sortWithinPartitions("shard", "place", "doc_id")
+    rows = written(sample.select("shard", "label_toxic", "calibrating", "text"), "toxicity-texts")
+    fitting = rows.where(~F.col("calibrating"))
+    seen = _counted(fitting, params)
+    model = _started(seen, params)
+    if not seen[:, 0].all():
+        return model
+    for epoch in range(params.epochs):
+        _move(model, fitting, epoch)
+    _calibrate(model, _counted_margins(rows, model))
+    return model
+
+
+def _read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    shard, toxic, calibrating = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+    return shard, toxic, calibrating, common.texts_of(batch.column(3))
+
+
+def _counted(rows: DataFrame, params: ToxicityParams) -> np.ndarray:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((2, params.buckets), dtype=np.int64)
+        for batch in batches:
+            _, toxic, _, texts = _read(batch)
+            _count(seen, texts, toxic)
+        at = np.flatnonzero(seen.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[0, at]), pa.array(seen[1, at])],
+                                         names=["feature", "clean", "toxic"])
+
+    got = (rows.mapInArrow(counted, "feature long, clean long, toxic long").groupBy("feature")
+           .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow())
+    seen = np.zeros((2, params.buckets), dtype=np.int64)
+    seen[:, got.column("feature").to_numpy()] = [got.column("clean").to_numpy(), got.column("toxic").to_numpy()]
+    return seen
+
+
+def _move(model: ToxicityModel, rows: DataFrame, epoch: int) -> None:
+    """One epoch: the shards' steps from this model, and the mean of their changes."""
+    spark, names = rows.sparkSession, [f"d{k}" for k in range(model.params.dim)]
+    shared = spark.sparkContext.broadcast(model)  # buckets x dim floats, whatever the input
+
+    def change(own: ToxicityModel, texts: int) -> pa.RecordBatch:
+        by = _packed(own) - _packed(shared.value)
+        at = np.flatnonzero(by.any(axis=1))
+        by = np.rint(by[at] * (texts * _UNIT)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.full(len(at), texts)), *[pa.array(c) for c in by.T]],
+                                          names=["row", "texts", *names])
+
+    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, current, done = None, None, 0
+        for batch in batches:
+            shard, toxic, _, texts = _read(batch)
+            edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if len(shard) else []
+            for a, b in zip(edges[:-1], edges[1:]):
+                if own is None or shard[a] != current:
+                    if own is not None:
+                        yield change(own, done)
+                    own, current, done = copy.deepcopy(shared.value), shard[a], 0
+                _descend(own, texts[a:b], toxic[a:b], epoch)
+                done += int(b - a)
+        if own is not None:
+            yield change(own, done)
+
+    mean = [(F.sum(c) / F.sum("texts") / _UNIT).alias(c) for c in names]
+    got = (rows.mapInArrow(moved, ", ".join(f"{c} long" for c in ("row", "texts", *names)))
+           .groupBy("row").agg(*mean).select("row", *[F.col(c).cast("float") for c in names]).toArrow())
+    packed = _packed(model)
+    packed[got.column("row").to_numpy()] += np.stack([got.column(c).to_numpy() for c in names], axis=1)
+    _unpack(model, packed)
+    shared.destroy()
+
+
+def _counted_margins(rows: DataFrame, model: ToxicityModel) -> np.ndarray:
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    table = _language_table(model.params.buckets)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = _no_cells()
+        for batch in batches:
+            _, toxic, calibrating, texts = _read(batch)
+            _count_margins(cells, shared.value, texts, toxic, calibrating, table)
+        at = np.flatnonzero(cells.ravel())
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(cells.ravel()[at])], names=["cell", "times"])
+
+    got = rows.mapInArrow(counted, "cell long, times long").groupBy("cell").agg(F.sum("times").alias("times")).toArrow()
+    cells = _no_cells()
+    cells.ravel()[got.column("cell").to_numpy()] = got.column("times").to_numpy()
+    shared.destroy()
+    return cells
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, keep: list[Column | str], score: str = "score") -> DataFrame:

@@ -115,6 +115,45 @@ def test_toxicity_learns_and_keeps_to_its_rows(spark):
     assert empty.count() == 0
 
 
+def test_toxicity_reads_every_label(spark):
+    docs = docs_of(spark, [f"plain w{i % 50}" for i in range(3600)])
+    docs = docs.union(docs.limit(9))  # repeated ids count once
+    labels = spark.createDataFrame([(i, int(i % 20 == 0)) for i in range(3600)], "doc_id long, toxic int")
+    params = toxicity.ToxicityParams(buckets=1 << 10, shard_rows=500)
+    rows = toxicity.training_sample(docs, labels, params).collect()
+    usable = {i for i in range(3600) if __import__("zlib").crc32(str(i).encode()) % 5}
+    assert sorted(r["doc_id"] for r in rows) == sorted(usable) and len({r["shard"] for r in rows}) == 6
+    fitting = toxicity.training_sample(docs, labels, params).where("not calibrating").select(
+        "shard", "label_toxic", "calibrating", "text")
+    seen = toxicity._counted(fitting, params)
+    texts = [r for r in rows if not r["calibrating"]]
+    assert [sum(r["label_toxic"] == y for r in texts) for y in (0, 1)] == seen[:, 0].tolist()
+    alone = np.zeros_like(seen)
+    toxicity._count(alone, [r["text"].encode() for r in texts], np.array([r["label_toxic"] for r in texts]))
+    assert (alone == seen).all()
+
+
+def test_toxicity_of_many_shards_learns_and_reruns_agree(spark):
+    rng = random.Random(8)
+    texts = [words(rng, 25) + (f" {rng.choice(('vequ', 'lowei'))}{i} " if i % 4 == 0 else " the ") + words(rng, 25) for i in range(900)]
+    docs = docs_of(spark, texts)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(900)], "doc_id long, toxic int")
+    params = toxicity.ToxicityParams(buckets=1 << 12, shard_rows=150)
+    model = toxicity.fit(docs, labels, params)
+    again = toxicity.fit(docs.repartition(7), labels.repartition(3), params)
+    assert (toxicity._packed(model) == toxicity._packed(again)).all() and (model.thresholds == again.thresholds).all()
+    held = [i for i in range(900) if __import__("zlib").crc32(str(i).encode()) % 5 == 0]
+    scores = toxicity.score_texts(model, [texts[i].encode() for i in held], toxicity._language_table(params.buckets))
+    assert sum((s >= 0.5) == (i % 4 == 0) for i, s in zip(held, scores)) >= 0.9 * len(held)
+
+
+def test_toxicity_of_one_class_takes_nothing_for_toxic(spark):
+    docs = docs_of(spark, ["some words", None, ""] * 20)
+    labels = spark.createDataFrame([(i, 0) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, toxicity.ToxicityParams(buckets=1 << 10))
+    assert all(r["score"] < 1e-100 for r in toxicity.score_documents(docs, model, ["doc_id"]).collect())
+
+
 def test_scores_do_not_depend_on_neighbours():
     rng = random.Random(1)
     texts = [words(rng, rng.randrange(0, 40)).encode() for _ in range(50)]
